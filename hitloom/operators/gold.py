@@ -127,9 +127,9 @@ def _hit_columns(silver: DataFrame) -> list[Column]:
         if name in E.MEASUREMENT_PATTERNS or name in E.MEASUREMENT_CODE_COLUMNS:
             columns.append(F.col(f"measurements.{name}"))
         elif name in EMPTY_COLUMNS or source not in have:
-            columns.append(F.lit(None).cast("string").alias(name))
+            columns.append(F.expr(f"CAST(NULL AS STRING) AS {name}"))
         else:
-            columns.append(F.col(source).alias(name))
+            columns.append(F.expr(f"{source} AS {name}"))
     return columns
 
 
@@ -235,7 +235,7 @@ def to_gold(
         "hit_type": kind,
     }
     # One select: every expression reads the columns of the hit, not new ones.
-    return named.select(*[per_event.get(c, F.col(c)).alias(c) for c in GOLD_COLUMNS])
+    return named.select(*[per_event[c].alias(c) if c in per_event else F.col(c) for c in GOLD_COLUMNS])
 
 
 def dedupe_events(gold: DataFrame) -> DataFrame:

@@ -33,6 +33,12 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _few(heavy: DataFrame) -> DataFrame | None:
+    """Heavy keys (fewer than ``1 / share``) as a local table; None if there are none."""
+    rows = heavy.collect()
+    return heavy.sparkSession.createDataFrame(rows, heavy.schema) if rows else None
+
+
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Broadcast join in which NULL keys meet; ``right`` is a bounded table."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
@@ -42,16 +48,21 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) ->
 
 def heavy_keys(sizes: DataFrame, share: float = SHARE, pieces: int = PIECES, min_rows: int = MIN_ROWS) -> DataFrame:
     """Keys of ``sizes`` (with ``_rows``) above the share: fewer than ``1 / share``."""
-    total = sizes.agg(F.sum("_rows").alias("_total"))
     every = F.greatest(F.lit(1), (F.col("_rows") / pieces).cast("bigint"))
     return (
-        sizes.crossJoin(F.broadcast(total))
+        _with_total(sizes)
         .filter((F.col("_rows") > F.col("_total") * share) & (F.col("_rows") >= min_rows))
         .withColumn("_every", every)
         .drop("_rows", "_total")
     )
 
 
+def _with_total(sizes: DataFrame) -> DataFrame:
+    if "_total" in sizes.columns:
+        return sizes
+    return sizes.crossJoin(F.broadcast(sizes.agg(F.sum("_rows").alias("_total"))))
+
+
 def _cut_points(narrow: DataFrame, heavy: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per heavy key a sorted array of about ``pieces`` sort keys."""
     picked = _match(narrow, heavy, keys, "inner").filter(F.pmod(F.xxhash64(*order), F.col("_every")) == 0)
@@ -81,8 +92,8 @@ def previous_value(
 ) -> DataFrame:
     """``out`` = ``value`` of the row before, per key in the given order."""
     narrow = df.select(*dict.fromkeys([*keys, *order, value]))
-    heavy = _stored(heavy_keys(_sizes(narrow, keys), **limits))
-    if heavy.isEmpty():
+    heavy = _few(heavy_keys(_sizes(narrow, keys), **limits))
+    if heavy is None:
         return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
 
     cuts = _stored(_cut_points(narrow, heavy, keys, order))
@@ -108,8 +119,8 @@ def previous_value(
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, **limits: float) -> DataFrame:
     """``out`` = 1, 2, ... per key in the given order."""
     narrow = df.select(*dict.fromkeys([*keys, *order]))
-    heavy = _stored(heavy_keys(_sizes(narrow, keys), **limits))
-    if heavy.isEmpty():
+    heavy = _few(heavy_keys(_sizes(narrow, keys), **limits))
+    if heavy is None:
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
     cuts = _stored(_cut_points(narrow, heavy, keys, order))
@@ -135,10 +146,10 @@ def number_rows(df: DataFrame, bucket: Column, order: Sequence[str], out: str, *
     """
     tagged = df.withColumn("_bucket", bucket)
     narrow = tagged.select("_bucket", *order)
-    sizes = _stored(_sizes(narrow, ["_bucket"]))
-    heavy = heavy_keys(sizes, **limits)
+    sizes = _stored(_with_total(_sizes(narrow, ["_bucket"])))
+    heavy = _few(heavy_keys(sizes, **limits))
     place = ["_bucket"]
-    if not heavy.isEmpty():
+    if heavy is not None:
         cuts = _stored(_cut_points(narrow, heavy, place, order))
         tagged = _with_chunk(tagged, cuts, place, order)
         chunked = _sizes(_with_chunk(narrow, cuts, place, order), ["_bucket", "_chunk"])

@@ -435,7 +435,7 @@ def classify_records(
     fixed = (
         F.when(F.col("verdict") == "exact", record)
         .when(F.col("verdict") == "pad", F.concat(record, F.repeat(F.lit("\t"), missing)))
-        .when(F.col("verdict") == "trim", F.substring_index(record, "\t", width + 1))
+        .when(F.col("verdict") == "trim", F.array_join(F.slice(F.split(record, "\t", -1), 1, width + 1), "\t"))
         .when(F.col("verdict") == "realigned", moved)
     )
     return judged.select("*", fixed.alias("fixed"))

@@ -80,43 +80,47 @@ def detect_page_view(
     return ordered.withColumn("is_page_view", seen)
 
 
-def sdr_alias_pairs(sdr: DataFrame, kind: str) -> list[tuple[str, str]]:
+def _named_evars(sdr: DataFrame) -> DataFrame:
+    return sdr.filter("code BETWEEN 100 AND 199 AND name_override != ''").selectExpr(
+        "'post_evar' AS source", "'evar_' AS prefix", "CAST(code - 99 AS STRING) AS number", "name_override AS name"
+    )
+
+
+def _named_props(sdr: DataFrame) -> DataFrame:
+    return sdr.filter("PropertyNumber IS NOT NULL AND Name != ''").selectExpr(
+        "'prop' AS source", "'prop_' AS prefix", "PropertyNumber AS number", "Name AS name"
+    )
+
+
+def sdr_alias_pairs(named: DataFrame) -> list[tuple[str, str]]:
     """(source column, alias) per naming row, in code order.
 
     The naming tables describe columns, so they are as short as a table is wide
     (at most 100 eVars here); they are read to the driver like a schema.
     """
-    if kind == "evar":
-        named = sdr.filter(F.col("code").between(100, 199) & (F.col("name_override") != ""))
-        rows = named.select((F.col("code") - 99).cast("string"), "name_override")
-        source, prefix = "post_evar", "evar_"
-    else:
-        rows = sdr.filter(F.col("Name") != "").select("PropertyNumber", "Name")
-        source, prefix = "prop", "prop_"
     found = sorted(
-        ((number, name) for number, name in rows.distinct().collect() if number),
-        key=lambda row: (len(row[0]), row),
+        map(tuple, named.distinct().collect()), key=lambda row: (row[0], len(row[2]), row[2], row[3])
     )
-    aliases = unique_names(alias_name(name, prefix) for _, name in found)
-    return [(source + number, alias) for (number, _), alias in zip(found, aliases)]
+    aliases = unique_names(alias_name(name, prefix) for _, prefix, _, name in found)
+    return [(source + number, alias) for (source, _, number, _), alias in zip(found, aliases)]
 
 
 def alias_columns(df: DataFrame, pairs: list[tuple[str, str]]) -> list[Column]:
     """Aliased copies; a source column the feed lacks gives a NULL string."""
     have = set(df.columns)
     return [
-        (F.col(f"`{source}`") if source in have else F.lit(None).cast("string")).alias(alias)
+        F.expr(f"`{source}` AS `{alias}`" if source in have else f"CAST(NULL AS STRING) AS `{alias}`")
         for source, alias in pairs
         if alias not in have
     ]
 
 
 def alias_evars(df: DataFrame, sdr_evars: DataFrame) -> DataFrame:
-    return df.select("*", *alias_columns(df, sdr_alias_pairs(sdr_evars, "evar")))
+    return df.select("*", *alias_columns(df, sdr_alias_pairs(_named_evars(sdr_evars))))
 
 
 def alias_props(df: DataFrame, sdr_props: DataFrame) -> DataFrame:
-    return df.select("*", *alias_columns(df, sdr_alias_pairs(sdr_props, "prop")))
+    return df.select("*", *alias_columns(df, sdr_alias_pairs(_named_props(sdr_props))))
 
 
 def to_silver(
@@ -133,11 +137,10 @@ def to_silver(
     viewed = detect_page_view(
         named, settings.use_post_page_event, settings.use_url_change, settings.use_evar_instances, **limits
     ).filter(F.col("ts_utc").isNotNull())
-    pairs = sdr_alias_pairs(sdr_evars, "evar") + sdr_alias_pairs(sdr_props, "prop")
+    pairs = sdr_alias_pairs(_named_evars(sdr_evars).unionByName(_named_props(sdr_props)))
     has_events = F.when(F.size("events_enhanced") > 0, "has_events").otherwise("no_events")
-    kept = [name for name in viewed.columns if name != "events_array"]
     return viewed.select(
-        *[F.col(f"`{name}`") for name in kept],
+        *[F.col(f"`{name}`") for name in viewed.columns if name != "events_array"],
         has_events.alias("event_classification"),
         *alias_columns(viewed, pairs),
     )

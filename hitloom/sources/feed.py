@@ -45,8 +45,8 @@ def split_hits(lines: DataFrame, schema: T.StructType, bad: Observation | None =
     too_long = F.size("f") > width
     if bad is not None:
         fields = fields.observe(bad, F.count_if(too_long).alias("bad_records"), F.count(F.lit(1)).alias("lines"))
-    return fields.filter(~too_long).select(
-        *[F.get("f", i).alias(field.name) for i, field in enumerate(schema.fields)]
+    return fields.filter(~too_long).selectExpr(
+        *[f"get(f, {i}) AS `{field.name}`" for i, field in enumerate(schema.fields)]
     )
 
 

@@ -105,20 +105,25 @@ LOOKUPS = {
     "referrer_type": "SELECT r_regionkey AS id, r_name AS name FROM region",
 }
 
-# A line of 12 fields with the hit time in field 4: whole, short, long or shifted.
+# A record of 12 fields with the hit time in field 4: whole, short, long, shifted
+# or without anchor. With ``{NL}`` as a line break, some fields span lines.
 LINE_WIDTH = 11
 LINE_ANCHOR = 4
-_ANCHOR = "'1' || CAST(700000000 + event_id AS STRING) || {TAB} || CAST(1000000000000 + event_id AS STRING) || {TAB} || CAST(2000000000000 + event_id AS STRING)"
-LINES = f"""
+_ANCHOR = "CAST(1700000000 + event_id AS STRING) || {TAB} || CAST(1000000000000 + event_id AS STRING) || {TAB} || CAST(2000000000000 + event_id AS STRING)"
+RECORDS = f"""
 SELECT event_id,
  CASE WHEN event_id % 12 IN (1, 2) THEN repeat('s' || {{TAB}}, CAST(3 + event_id % 12 AS INT)) WHEN event_id % 12 = 3 THEN repeat('s' || {{TAB}}, 7) ELSE '' END ||
  CASE WHEN event_id % 12 = 4 THEN 'a' ELSE 'a' || {{TAB}} || 'b' || {{TAB}} || 'c' || {{TAB}} || CAST(user_id AS STRING) END || {{TAB}} ||
  CASE WHEN event_id % 12 = 3 THEN 'none' ELSE {_ANCHOR} END || {{TAB}} ||
- 'h' || {{TAB}} || event_type || {{TAB}} || 'j' || {{TAB}} || 'k' ||
- CASE WHEN event_id % 12 = 5 THEN '' WHEN event_id % 12 = 6 THEN {{TAB}} || 'l' || {{TAB}} || 'm' || {{TAB}} || 'n'
+ CASE WHEN event_id % 5 = 0 THEN 'h' || {{NL}} || {{NL}} || 'more' ELSE 'h' END || {{TAB}} || event_type || {{TAB}} || 'j' ||
+ CASE WHEN event_id % 12 = 11 THEN '' ELSE {{TAB}} || 'k' END ||
+ CASE WHEN event_id % 12 IN (5, 11) THEN '' WHEN event_id % 12 = 6 THEN {{TAB}} || 'l' || {{TAB}} || 'm' || {{TAB}} || 'n'
   WHEN event_id % 12 = 4 THEN repeat({{TAB}} || 'x', 9) ELSE {{TAB}} || 'l' END AS value
 FROM events
 """
+ONE_LINE = {"NL": "''"}
+SPARK_BREAK = {"NL": "char(10)"}
+DUCK_BREAK = {"NL": "chr(10)"}
 
 
 def _sql(text: str, terms: dict[str, str]) -> str:
@@ -127,24 +132,26 @@ def _sql(text: str, terms: dict[str, str]) -> str:
     return text
 
 
-def spark_sql(text: str) -> str:
-    return _sql(text, SPARK_TERMS)
+def spark_sql(text: str, **more: str) -> str:
+    return _sql(text, {**SPARK_TERMS, **more})
 
 
-def duck_sql(text: str) -> str:
-    return _sql(text, DUCK_TERMS).replace(" AS STRING)", " AS VARCHAR)")
+def duck_sql(text: str, **more: str) -> str:
+    return _sql(text, {**DUCK_TERMS, **more}).replace(" AS STRING)", " AS VARCHAR)")
 
 
-def table(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, text: str, **more: str) -> DataFrame:
     """Run one of the projections above over the parquet files of ``sf_dir``."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    source = text.rsplit("FROM ", 1)[1].strip()
-    given = spark.read.parquet(f"{sf_dir}/{source}.parquet")
-    return spark.sql(spark_sql(text.rsplit("FROM ", 1)[0]) + " FROM {given}", given=given)
+    select, source = text.rsplit("FROM ", 1)
+    given = spark.read.parquet(f"{sf_dir}/{source.strip()}.parquet")
+    return spark.sql(spark_sql(select, **more) + " FROM {given}", given=given)
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    read = lambda text: table(spark, sf_dir, text)
+    def read(text: str) -> DataFrame:
+        return table(spark, sf_dir, text)
+
     return Inputs(
         raw=read(HITS),
         base_events=read(BASE_EVENTS),
@@ -153,3 +160,14 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         props_raw=read(PROPS),
         lookups={name: read(text) for name, text in LOOKUPS.items()},
     )
+
+
+def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Physical lines of eight feed files, as the line scan would give them."""
+    records = table(spark, sf_dir, RECORDS, **SPARK_BREAK)
+    return records.selectExpr("event_id", "posexplode(split(value, '\n'))").selectExpr(
+        "concat('feed-', event_id % 8, '.tsv') AS path",
+        "event_id div 1000 AS block",
+        "event_id * 100 + pos AS row",
+        "col AS value",
+    )
