@@ -679,7 +679,7 @@ cte(
 O["read_hits"] = with_ctes(
     f"SELECT {', '.join(f'f[{n + 1}] AS field_{n}' for n in range(W + 1))} FROM one WHERE len(f) <= {W + 1}", "one"
 )
-O["sanitize_columns"] = "SELECT event_id, user_id AS f_2nd_time, event_type AS \"user\", value AS user_2, props AS value, epoch_us(ts) AS col, user_id AS col_2 FROM events"
+O["sanitize_columns"] = "SELECT event_id, user_id AS f_2nd_id, event_type AS \"user\", value AS user_2, props AS value, epoch_us(ts) // 1000000 AS col, user_id AS col_2 FROM events"
 O["find_anchors"] = with_ctes("SELECT * FROM anchors", "anchors")
 O["tab_histogram"] = with_ctes("SELECT path, CAST(delta AS BIGINT) AS delta, records FROM histogram", "histogram")
 O["canonical_tabs"] = with_ctes(

@@ -545,8 +545,8 @@ def read_hits(spark, sf_dir):
 
 @tabled
 def sanitize_columns(spark, sf_dir):
-    names = ("Event ID", "2nd time", "'user'", "User", "value %", "__", "!")
-    events = I.table(spark, sf_dir, "SELECT event_id, user_id, event_type, value, props, ts, user_id FROM events")
+    names = ("Event ID", "2nd id", "'user'", "User", "value %", "__", "!")
+    events = I.table(spark, sf_dir, "SELECT event_id, user_id, event_type, value, props, {S} AS s, user_id FROM events")
     return FD.sanitize_columns(events.toDF(*names)).drop("_")
 
 
