@@ -21,7 +21,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -171,89 +171,77 @@ def canonical_tabs(histogram: DataFrame) -> DataFrame:
 # -- records -------------------------------------------------------------------
 
 
-def _line_ends(tabs: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Running tabs and characters; a line after another adds a two-character break."""
-    filled = chars > 0
-    return np.cumsum(tabs), np.cumsum(np.where(filled, chars + len(LINE_BREAK), 0))
-
-
-def _close_line(start: int, tabs_end: np.ndarray, chars_end: np.ndarray, width: int, max_chars: int) -> int:
-    """The line that closes a record whose first line is ``start``; past the end if none."""
-    tabs_before = tabs_end[start - 1] if start else 0
-    chars_before = chars_end[start - 1] if start else 0
-    by_tabs = int(np.searchsorted(tabs_end, tabs_before + width, side="left"))
-    # The first filled line has no break before it.
-    by_chars = int(np.searchsorted(chars_end, chars_before + max_chars + len(LINE_BREAK), side="right"))
-    return max(min(by_tabs, by_chars), start)
-
-
-def _open_at_end(starts: Sequence[int], count: int, close) -> dict[int, int]:
+class _Chunk:
+    """Lines of one chunk in file order, as arrays."""
+
+    def __init__(self, table: pa.Table, max_chars: int):
+        self.table = table = table.sort_by("row")
+        self.path, self.block, self.part, self.width = (table[c][0].as_py() for c in (*CHUNK, "width"))
+        self.rows, tabs, chars = (table[c].to_numpy() for c in ("row", "tabs", "chars"))
+        self.count = len(self.rows)
+        self.filled = chars > 0
+        # Running tabs and characters; a line added to a record brings a break.
+        self.tabs = np.cumsum(tabs)
+        self.chars = np.cumsum(np.where(self.filled, chars + len(LINE_BREAK), 0))
+        # For a record whose first line is i: the line that closes it, or count.
+        before_tabs = np.concatenate(([0], self.tabs[:-1]))
+        before_chars = np.concatenate(([0], self.chars[:-1]))
+        by_tabs = np.searchsorted(self.tabs, before_tabs + self.width, side="left")
+        by_chars = np.searchsorted(self.chars, before_chars + max_chars + len(LINE_BREAK), side="right")
+        self.close = np.maximum(np.minimum(by_tabs, by_chars), np.arange(self.count)).tolist()
+        # The first filled line at or after i, or count.
+        spots = np.where(self.filled, np.arange(self.count), self.count)
+        self.next_filled = np.minimum.accumulate(spots[::-1])[::-1].tolist()
+
+    def open_record(self, start: int) -> tuple[int, int, int]:
+        """Row, tabs and characters of a record from ``start`` to the chunk's end."""
+        if start >= self.count or self.next_filled[start] >= self.count:
+            return -1, 0, 0
+        tabs, chars = (int(self.tabs[start - 1]), int(self.chars[start - 1])) if start else (0, 0)
+        size = int(self.chars[-1]) - chars - len(LINE_BREAK)
+        return int(self.rows[self.next_filled[start]]), int(self.tabs[-1]) - tabs, size
+
+
+def _open_starts(starts: Sequence[int], close: list[int]) -> dict[int, int]:
     """For each start line: first line of the record open at the chunk's end."""
-    known: dict[int, int] = {}
+    count = len(close)
+    known: dict[int, int] = {count: count}
     for start in starts:
-        trail = []
-        at = start
+        trail, at = [], start
         while at not in known:
-            end = close(at) if at < count else count
-            if end >= count:
+            if close[at] >= count:
                 known[at] = at
                 break
             trail.append(at)
-            at = end + 1
+            at = close[at] + 1
         for passed in trail:
             known[passed] = known[at]
-    return {start: known[start] for start in starts}
+    return known
 
 
-_REPORT = (
-    "path string, block bigint, part bigint, width int, first_row bigint, tabs bigint, chars bigint, "
-    "ends array<struct<tabs:bigint,chars:bigint,open_row:bigint,open_tabs:bigint,open_chars:bigint>>"
+_ENDS = ("end_tabs", "end_chars", "open_row", "open_tabs", "open_chars")
+_REPORT = "path string, block bigint, part bigint, width int, tabs bigint, chars bigint, " + ", ".join(
+    f"{name} array<bigint>" for name in _ENDS
 )
 
 
 def _report_chunk(max_chars: int):
     """Step 2: what may happen in a chunk to the record open at its start."""
 
-    def report(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row")
-        width = int(pdf["width"].iloc[0])
-        rows, tabs, chars = (pdf[c].to_numpy() for c in ("row", "tabs", "chars"))
-        tabs_end, chars_end = _line_ends(tabs, chars)
-        count = len(rows)
+    def report(table: pa.Table) -> pa.Table:
+        c = _Chunk(table, max_chars)
         # Whatever was open, it has ended once this chunk alone fills the width.
-        certain = min(int(np.searchsorted(tabs_end, width, side="left")), count - 1)
-        close = lambda start: _close_line(start, tabs_end, chars_end, width, max_chars)
-        nexts = [0] + [line + 1 for line in range(certain + 1)]
-        opens = _open_at_end(nexts, count, close)
-
-        def state(next_line: int) -> tuple[int, int, int]:
-            first = opens[next_line]
-            if first >= count:
-                return -1, 0, 0
-            before = (tabs_end[first - 1], chars_end[first - 1]) if first else (0, 0)
-            filled = np.flatnonzero(chars[first:] > 0)
-            if not len(filled):
-                return -1, 0, 0
-            size = int(chars_end[-1] - before[1]) - len(LINE_BREAK)
-            return int(rows[first + filled[0]]), int(tabs_end[-1] - before[0]), size
-
+        certain = min(int(np.searchsorted(c.tabs, c.width, side="left")), c.count - 1)
+        starts = [0, *range(1, certain + 2)]
+        opened = _open_starts(starts, c.close)
         # The first entry is the chunk entered with no open record; then one
         # entry per line on which an open record may end.
-        ends = [(0, 0, *state(0))]
-        ends += [(int(tabs_end[i]), int(chars_end[i]), *state(i + 1)) for i in range(certain + 1)]
-        fields = ("tabs", "chars", "open_row", "open_tabs", "open_chars")
-        return pd.DataFrame(
-            {
-                "path": [pdf["path"].iloc[0]],
-                "block": [pdf["block"].iloc[0]],
-                "part": [pdf["part"].iloc[0]],
-                "width": [width],
-                "first_row": [int(rows[0])],
-                "tabs": [int(tabs_end[-1])],
-                "chars": [int(chars_end[-1])],
-                "ends": [[dict(zip(fields, end)) for end in ends]],
-            }
-        )
+        ends = [(0, 0, *c.open_record(opened[0]))]
+        ends += [(int(c.tabs[i]), int(c.chars[i]), *c.open_record(opened[i + 1])) for i in range(certain + 1)]
+        lists = [pa.array([list(column)], pa.list_(pa.int64())) for column in zip(*ends)]
+        place = [pa.array([c.path]), pa.array([c.block], pa.int64()), pa.array([c.part], pa.int64())]
+        sums = [pa.array([c.width], pa.int32()), pa.array([int(c.tabs[-1])]), pa.array([int(c.chars[-1])])]
+        return pa.table([*place, *sums, *lists], names=[*CHUNK, "width", "tabs", "chars", *_ENDS])
 
     return report
 
@@ -262,86 +250,85 @@ _STATE = (
     "path string, block bigint, part bigint, width int, open_block bigint, open_row bigint, "
     "open_tabs bigint, open_chars bigint"
 )
+_STATE_TYPES = pa.schema(
+    [("path", pa.string()), ("block", pa.int64()), ("part", pa.int64()), ("width", pa.int32())]
+    + [(name, pa.int64()) for name in ("open_block", "open_row", "open_tabs", "open_chars")]
+)
 
 
 def _carry_states(max_chars: int):
     """Step 3: reports of whole files in order -> state at each chunk's start."""
 
-    def carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = None
         block, row, tabs, chars = -1, -1, 0, 0
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for item in pdf.itertuples(index=False):
-                if item.path != path:
-                    path, block, row, tabs, chars = item.path, -1, -1, 0, 0
-                out.append((item.path, item.block, item.part, item.width, block, row, tabs, chars))
-                if row < 0:
-                    end = item.ends[0]
-                else:
-                    end = next(
-                        (
-                            e
-                            for e in item.ends[1:]
-                            if tabs + e["tabs"] >= item.width or chars + e["chars"] > max_chars
-                        ),
-                        None,
-                    )
+            for item in batch.to_pylist():
+                if item["path"] != path:
+                    path, block, row, tabs, chars = item["path"], -1, -1, 0, 0
+                start = (block, row, tabs, chars)
+                out.append(dict(zip(_STATE_TYPES.names, (path, item["block"], item["part"], item["width"], *start))))
+                end = 0
+                if row >= 0:
+                    passed = zip(item["end_tabs"][1:], item["end_chars"][1:])
+                    closing = (tabs + t >= item["width"] or chars + n > max_chars for t, n in passed)
+                    end = next((i for i, closes in enumerate(closing, start=1) if closes), None)
                 if end is None:
                     # Still the same record: nothing in this chunk closed it.
-                    tabs, chars = tabs + item.tabs, chars + item.chars
-                elif end["open_row"] < 0:
+                    tabs, chars = tabs + item["tabs"], chars + item["chars"]
+                elif item["open_row"][end] < 0:
                     block, row, tabs, chars = -1, -1, 0, 0
                 else:
-                    block, row, tabs, chars = item.block, end["open_row"], end["open_tabs"], end["open_chars"]
-            yield pd.DataFrame(
-                out, columns=["path", "block", "part", "width", "open_block", "open_row", "open_tabs", "open_chars"]
-            )
+                    block = item["block"]
+                    row, tabs, chars = (item[name][end] for name in ("open_row", "open_tabs", "open_chars"))
+            yield pa.RecordBatch.from_pylist(out, _STATE_TYPES)
 
     return carry
 
 
-_OWNER = "path string, block bigint, part bigint, row bigint, record_block bigint, record_row bigint, alone boolean"
+_OWNER = (
+    "path string, block bigint, part bigint, row bigint, record_block bigint, record_row bigint, alone boolean"
+)
 
 
 def _assign_lines(max_chars: int):
     """Step 4: the record each line belongs to, named by the record's first line."""
 
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row")
-        first = pdf.iloc[0]
-        width, count = int(first["width"]), len(pdf)
-        here = first["block"]
-        rows, tabs, chars = (pdf[c].to_numpy() for c in ("row", "tabs", "chars"))
-        tabs_end, chars_end = _line_ends(tabs, chars)
-        owner_row = np.full(count, -1, dtype=np.int64)
-        owner_block = np.full(count, here, dtype=np.int64)
-        alone = np.zeros(count, dtype=bool)
+    def assign(table: pa.Table) -> pa.Table:
+        c = _Chunk(table, max_chars)
+        open_block, open_row, open_tabs, open_chars = (
+            c.table[name][0].as_py() for name in ("open_block", "open_row", "open_tabs", "open_chars")
+        )
+        owner_row = np.full(c.count, -1, dtype=np.int64)
+        owner_block = np.full(c.count, c.block, dtype=np.int64)
+        alone = np.zeros(c.count, dtype=bool)
+        filled_to = np.cumsum(c.filled)
         at = 0
-        if first["open_row"] >= 0:
-            full = int(np.searchsorted(tabs_end, width - int(first["open_tabs"]), side="left"))
-            over = int(np.searchsorted(chars_end, max_chars - int(first["open_chars"]), side="right"))
-            at = min(full, over, count - 1) + 1
-            owner_row[:at], owner_block[:at] = first["open_row"], first["open_block"]
-        while at < count:
-            close = _close_line(at, tabs_end, chars_end, width, max_chars)
-            end = min(close, count - 1)
-            filled = np.flatnonzero(chars[at : end + 1] > 0)
-            if len(filled):
-                owner_row[at : end + 1] = rows[at + filled[0]]
-                alone[at + filled[0]] = close < count and len(filled) == 1
+        if open_row >= 0:
+            full = int(np.searchsorted(c.tabs, c.width - open_tabs, side="left"))
+            over = int(np.searchsorted(c.chars, max_chars - open_chars, side="right"))
+            at = min(full, over, c.count - 1) + 1
+            owner_row[:at], owner_block[:at] = open_row, open_block
+        while at < c.count:
+            end, first = min(c.close[at], c.count - 1), c.next_filled[at]
+            if first <= end:
+                owner_row[at : end + 1] = c.rows[first]
+                alone[first] = c.close[at] < c.count and filled_to[end] == filled_to[first]
             at = end + 1
-        keep = (owner_row >= 0) & (chars > 0)
-        return pd.DataFrame(
-            {
-                "path": pdf["path"].to_numpy()[keep],
-                "block": pdf["block"].to_numpy()[keep],
-                "part": pdf["part"].to_numpy()[keep],
-                "row": rows[keep],
-                "record_block": owner_block[keep],
-                "record_row": owner_row[keep],
-                "alone": alone[keep],
-            }
+        keep = np.flatnonzero((owner_row >= 0) & c.filled)
+        size = len(keep)
+        return pa.table(
+            [
+                pa.repeat(pa.scalar(c.path), size),
+                pa.repeat(pa.scalar(c.block, pa.int64()), size),
+                pa.repeat(pa.scalar(c.part, pa.int64()), size),
+                pa.array(c.rows[keep]),
+                pa.array(owner_block[keep]),
+                pa.array(owner_row[keep]),
+                pa.array(alone[keep]),
+            ],
+            names=[*CHUNK, "row", "record_block", "record_row", "alone"],
         )
 
     return assign
@@ -355,12 +342,12 @@ def assemble_records(indexed: DataFrame, widths: DataFrame, max_chars: int = MAX
     """
     sized = widths.select("path", F.col("width").cast("int").alias("width"))
     narrow = indexed.select(*CHUNK, "row", "tabs", "chars").join(sized, "path")
-    reports = narrow.groupBy(*CHUNK).applyInPandas(_report_chunk(max_chars), _REPORT)
+    reports = narrow.groupBy(*CHUNK).applyInArrow(_report_chunk(max_chars), _REPORT)
     states = (
-        reports.repartition("path").sortWithinPartitions(*CHUNK).mapInPandas(_carry_states(max_chars), _STATE)
+        reports.repartition("path").sortWithinPartitions(*CHUNK).mapInArrow(_carry_states(max_chars), _STATE)
     )
     entered = narrow.drop("width").join(states, list(CHUNK))
-    owners = entered.groupBy(*CHUNK).applyInPandas(_assign_lines(max_chars), _OWNER)
+    owners = entered.groupBy(*CHUNK).applyInArrow(_assign_lines(max_chars), _OWNER)
 
     lines = indexed.select(*CHUNK, "row", "text", "tabs").join(owners, [*CHUNK, "row"])
     key = ["path", "record_block", "record_row"]
@@ -388,27 +375,23 @@ def _fit(fields: Column, size: Column) -> Column:
     return F.concat(F.slice(fields, 1, size), F.array_repeat(F.lit(""), missing))
 
 
-def realigned(
-    record: Column, width: Column, anchor_field: int = ANCHOR_FIELD, search: int = ANCHOR_RANGE
-) -> Column:
-    """The record with its anchor moved back in place; NULL without an anchor."""
-    fields = F.split(record, "\t", -1)
-    size = width + 1
+def anchor_shift(fields: Column, anchor_field: int = ANCHOR_FIELD, search: int = ANCHOR_RANGE) -> Column:
+    """How far the anchor is from its place, leftmost first; NULL without one."""
+    tests = ((0, r"^[0-9]{10}\z"), (1, r"^[0-9]{10,20}\z"), (2, r"^[0-9]{10,20}\z"))
 
     def anchored(offset: Column) -> Column:
-        at = offset + anchor_field
-        return (
-            F.coalesce(F.get(fields, at).rlike(r"^[0-9]{10}\z"), F.lit(False))
-            & F.coalesce(F.get(fields, at + 1).rlike(r"^[0-9]{10,20}\z"), F.lit(False))
-            & F.coalesce(F.get(fields, at + 2).rlike(r"^[0-9]{10,20}\z"), F.lit(False))
-        )
+        found = [F.coalesce(F.get(fields, offset + anchor_field + i).rlike(p), F.lit(False)) for i, p in tests]
+        return found[0] & found[1] & found[2]
 
     low = -min(search, anchor_field)
-    offset = F.get(F.filter(F.sequence(F.lit(low), F.lit(search)), anchored), 0)
-    right = _fit(F.slice(fields, F.greatest(offset, F.lit(0)) + 1, F.size(fields)), size)
-    left = F.slice(F.concat(F.array_repeat(F.lit(""), F.greatest(-offset, F.lit(0))), fields), 1, size)
-    still = F.slice(fields, 1, size)
-    return F.array_join(F.when(offset > 0, right).when(offset < 0, left).when(offset == 0, still), "\t")
+    return F.get(F.filter(F.sequence(F.lit(low), F.lit(search)), anchored), 0)
+
+
+def realigned(fields: Column, shift: Column, size: Column) -> Column:
+    """Fields with the anchor back in place, cut or filled to ``size``."""
+    right = _fit(F.slice(fields, F.greatest(shift, F.lit(0)) + 1, F.size(fields)), size)
+    left = F.slice(F.concat(F.array_repeat(F.lit(""), F.greatest(-shift, F.lit(0))), fields), 1, size)
+    return F.when(shift > 0, right).when(shift < 0, left).when(shift == 0, F.slice(fields, 1, size))
 
 
 def classify_records(
@@ -417,28 +400,39 @@ def classify_records(
     anchor_field: int = ANCHOR_FIELD,
     search: int = ANCHOR_RANGE,
 ) -> DataFrame:
-    """Adds ``verdict`` and ``fixed`` (the repaired text, NULL for rejects)."""
+    """Adds ``verdict`` and ``fixed`` (the repaired text, NULL for rejects).
+
+    Most records are exact and are not split at all; the search for a shifted
+    anchor runs once, and only for records that nothing else explains.
+    """
     tabs, width, record = F.col("tabs"), F.col("width"), F.col("record")
     missing = width - tabs
-    moved = realigned(record, width, anchor_field, search)
     oversize = F.col("oversize") if "oversize" in records.columns else F.lit(False)
-    verdict = (
+    first = (
         F.when(oversize, "oversize")
         .when(missing == 0, "exact")
         .when((missing > 0) & (missing <= tolerance), "pad")
         .when((missing < 0) & (-missing <= tolerance), "trim")
         .when(is_fragment(tabs, width), "fragment")
-        .when(moved.isNotNull(), "realigned")
-        .otherwise("reject")
+        .otherwise("search")
     )
-    judged = records.select("*", verdict.alias("verdict"))
+    kept = records.columns
+    split = F.when(F.col("_first").isin("trim", "search"), F.split(record, "\t", -1))
+    shift = F.when(F.col("_first") == "search", anchor_shift(F.col("_fields"), anchor_field, search))
+    found = F.when(F.col("_shift").isNotNull(), "realigned").otherwise("reject")
+    size = width + 1
     fixed = (
-        F.when(F.col("verdict") == "exact", record)
-        .when(F.col("verdict") == "pad", F.concat(record, F.repeat(F.lit("\t"), missing)))
-        .when(F.col("verdict") == "trim", F.array_join(F.slice(F.split(record, "\t", -1), 1, width + 1), "\t"))
-        .when(F.col("verdict") == "realigned", moved)
+        F.when(F.col("_first") == "exact", record)
+        .when(F.col("_first") == "pad", F.concat(record, F.repeat(F.lit("\t"), missing)))
+        .when(F.col("_first") == "trim", F.array_join(F.slice("_fields", 1, size), "\t"))
+        .when(F.col("_shift").isNotNull(), F.array_join(realigned(F.col("_fields"), F.col("_shift"), size), "\t"))
+    )
+    return (
+        records.withColumn("_first", first)
+        .withColumn("_fields", split)
+        .withColumn("_shift", shift)
+        .select(*kept, F.when(F.col("_first") == "search", found).otherwise(F.col("_first")).alias("verdict"), fixed.alias("fixed"))
     )
-    return judged.select("*", fixed.alias("fixed"))
 
 
 def repair_stats(classified: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,48 +13,88 @@ from hitloom.config import Settings
 from hitloom.functions import events as E
 from hitloom.functions.text import alias_name, unique_names
 from hitloom.operators.ordering import previous_value
+from hitloom.session import checkpoint_folder
 
 # Hits of one visitor follow each other in this order.
 HIT_ORDER = ("ts_utc", "hitid_high", "hitid_low")
-NAME_SLOTS = 1024
+# At most this many event codes go into a constant of the plan.
+MAX_NAMED_CODES = 20_000
 
 
-def event_name_slots(event_map: DataFrame) -> DataFrame:
-    """The event map as one row: an array of small maps, slot = code mod slots.
+def occurring_names(df: DataFrame, event_map: DataFrame) -> DataFrame:
+    """(code, name) of the events that occur, one name per code.
 
-    A map lookup in Spark reads the map from the start; picking the slot first
-    keeps it short. One row with one entry per event code: a few thousand.
+    Codes are counted down to distinct ones before the shuffle, so the size of
+    the event map does not matter.
     """
-    slot = F.pmod("code", F.lit(NAME_SLOTS)).cast("int")
-    filled = (
+    codes = df.select(F.explode("events_array.event_code").alias("code")).distinct()
+    return (
         event_map.filter(F.col("code").isNotNull() & F.col("name").isNotNull())
+        .join(codes, "code", "left_semi")
         .groupBy("code")
         .agg(F.min("name").alias("name"))
-        .groupBy(slot.alias("slot"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("code", "name"))).alias("names"))
     )
-    by_slot = F.map_from_entries(F.collect_list(F.struct("slot", "names")))
-    every_slot = F.transform(F.sequence(F.lit(0), F.lit(NAME_SLOTS - 1)), lambda i: F.try_element_at("_by_slot", i))
-    return filled.agg(by_slot.alias("_by_slot")).select(every_slot.alias("_slots"))
 
 
-def _name_from_slots(code: Column) -> Column:
-    names = F.get(F.col("_slots"), F.pmod(code, F.lit(NAME_SLOTS)).cast("int"))
-    return F.coalesce(F.try_element_at(names, code), E.literal_event_name(code))
+def _name_constant(rows: list) -> Callable[[Column], Column]:
+    """Names as a constant that Catalyst folds: small maps in slots by code.
+
+    A map lookup in Spark reads the map from the start, so each slot is kept short.
+    A joined column of names would be copied into every row instead.
+    """
+    slots = max(1, len(rows) // 4)
+    filled: list[dict[str, str]] = [{} for _ in range(slots)]
+    for code, name in rows:
+        filled[code % slots][str(code)] = name
+    constant = F.from_json(F.lit(json.dumps(filled)), "array<map<string,string>>")
+
+    def name_of(code: Column) -> Column:
+        slot = F.get(constant, F.pmod(code, F.lit(slots)).cast("int"))
+        return F.coalesce(F.try_element_at(slot, code.cast("string")), E.literal_event_name(code))
+
+    return name_of
+
+
+def _enhance_by_join(df: DataFrame, names: DataFrame, out: str) -> DataFrame:
+    """The way for any number of codes: explode, join the names, gather again.
+
+    Rows get a number that must not change between uses, so they are stored once.
+    Gathering is per hit, hence never larger than one event list.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/numbered-hits-{uuid.uuid4().hex}"
+    df.withColumn("_hit", F.monotonically_increasing_id()).write.parquet(path)
+    numbered = spark.read.parquet(path)
+    events = numbered.select("_hit", F.posexplode(E.enhanced_events(F.col("events_array"))).alias("_pos", "e"))
+    named = events.join(names.withColumnRenamed("code", "_code"), F.col("e.event_code") == F.col("_code"), "left")
+    full = F.struct(
+        "_pos", "e.event_code", "e.event_value",
+        F.coalesce("name", "e.event_name").alias("event_name"), "e.event_type", "e.is_measurement",
+    )
+    gathered = named.groupBy("_hit").agg(F.array_sort(F.collect_list(full)).alias("_all"))
+    fields = ("event_code", "event_value", "event_name", "event_type", "is_measurement")
+    array = F.transform("_all", lambda e: F.struct(*[e[name].alias(name) for name in fields]))
+    empty = E.enhanced_events(F.filter("events_array", lambda e: F.lit(False)))
+    return numbered.join(gathered, "_hit", "left").select(*df.columns, F.coalesce(array, empty).alias(out))
 
 
 def enhance_events(
-    df: DataFrame, name_source: str = "literal", event_map: DataFrame | None = None, out: str = "events_enhanced"
+    df: DataFrame,
+    name_source: str = "literal",
+    event_map: DataFrame | None = None,
+    out: str = "events_enhanced",
+    max_codes: int = MAX_NAMED_CODES,
 ) -> DataFrame:
+    """Events with name, type and measurement flag, as an array per hit."""
     if name_source == "literal":
         return df.select("*", E.enhanced_events(F.col("events_array")).alias(out))
     if name_source != "event_map" or event_map is None:
         raise ValueError("name_source is 'literal', or 'event_map' with an event map")
-    slots = F.broadcast(event_name_slots(event_map))
-    return df.crossJoin(slots).select(
-        *[df[f"`{name}`"] for name in df.columns],
-        E.enhanced_events(F.col("events_array"), _name_from_slots).alias(out),
-    )
+    names = occurring_names(df, event_map)
+    rows = names.limit(max_codes + 1).collect()
+    if len(rows) > max_codes:
+        return _enhance_by_join(df, names, out)
+    return df.select("*", E.enhanced_events(F.col("events_array"), _name_constant(rows)).alias(out))
 
 
 def evar_instances(df: DataFrame, number_offset: int = 9999) -> DataFrame:
