@@ -133,7 +133,7 @@ def field_lengths(raw: DataFrame) -> DataFrame:
 def row_drift(counted: DataFrame, expected_rows: int, column: str = "total_rows") -> DataFrame:
     """Distance of a row count from the expected one; over 10 % is a warning."""
     expected = F.lit(expected_rows)
-    pct = F.abs(F.col(column) - expected) / expected * 100
+    pct = F.try_divide(F.abs(F.col(column) - expected).cast("double"), expected.cast("double")) * 100
     return counted.select(
         F.col(column).alias("total_rows"),
         expected.cast("bigint").alias("expected_rows"),
