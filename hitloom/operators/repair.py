@@ -288,7 +288,8 @@ def _carry_states(max_chars: int):
 
 
 _OWNER = (
-    "path string, block bigint, part bigint, row bigint, record_block bigint, record_row bigint, alone boolean"
+    "path string, block bigint, part bigint, row bigint, record_block bigint, record_row bigint, "
+    "alone boolean, width int"
 )
 
 
@@ -327,8 +328,9 @@ def _assign_lines(max_chars: int):
                 pa.array(owner_block[keep]),
                 pa.array(owner_row[keep]),
                 pa.array(alone[keep]),
+                pa.repeat(pa.scalar(c.width, pa.int32()), size),
             ],
-            names=[*CHUNK, "row", "record_block", "record_row", "alone"],
+            names=[*CHUNK, "row", "record_block", "record_row", "alone", "width"],
         )
 
     return assign
@@ -351,15 +353,19 @@ def assemble_records(indexed: DataFrame, widths: DataFrame, max_chars: int = MAX
 
     lines = indexed.select(*CHUNK, "row", "text", "tabs").join(owners, [*CHUNK, "row"])
     key = ["path", "record_block", "record_row"]
-    single = lines.filter("alone").select(*key, F.col("text").alias("record"), F.col("tabs").cast("bigint").alias("tabs"))
+    single = lines.filter("alone").selectExpr(*key, "text AS record", "CAST(tabs AS BIGINT) AS tabs", "width")
     ordered = F.array_sort(F.collect_list(F.struct("block", "row", "text")))
     joined = (
         lines.filter("NOT alone")
         .groupBy(*key)
-        .agg(F.array_join(F.transform(ordered, lambda line: line["text"]), LINE_BREAK).alias("record"), F.sum("tabs").alias("tabs"))
+        .agg(
+            F.array_join(F.transform(ordered, lambda line: line["text"]), LINE_BREAK).alias("record"),
+            F.sum("tabs").alias("tabs"),
+            F.max("width").alias("width"),
+        )
     )
     too_large = (F.length("record") > max_chars) | (F.col("tabs") > F.col("width") * MAX_TAB_FACTOR)
-    return single.unionByName(joined).join(sized, "path").select("*", too_large.alias("oversize"))
+    return single.unionByName(joined).select("*", too_large.alias("oversize"))
 
 
 # -- verdicts ------------------------------------------------------------------
