@@ -62,7 +62,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     settings = Settings()
     inputs = I.inputs(spark, sf_dir)
-    inputs.raw = write_layer(inputs.raw, "raw")
+    # A feed arrives as many files; the given table is one, hence one read task.
+    inputs.raw = write_layer(inputs.raw.repartition(int(cpus)), "raw")
     layers = run_layers(inputs, settings, if_exists="replace")  # warm-up
 
     def silver():

@@ -167,7 +167,7 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = table(spark, sf_dir, RECORDS, **SPARK_BREAK)
     return records.selectExpr("event_id", "posexplode(split(value, '\n'))").selectExpr(
         "concat('feed-', event_id % 8, '.tsv') AS path",
-        "event_id div 1000 AS block",
+        "event_id div 4000 AS block",
         "event_id * 100 + pos AS row",
         "col AS value",
     )
