@@ -102,11 +102,11 @@ def to_bronze_basic(raw: DataFrame, **limits: float) -> DataFrame:
     Hits without any identity become ``fallback-n``, n being the position of the
     hit among all hits by its raw time string.
     """
-    # The first three characters never decrease along the string and take few
-    # values (a day-sized range would need more of them; large ones are cut).
+    # The first six characters (some hours) never decrease along the string and
+    # take few values; large ones are cut.
     numbered = number_rows(
         keep_timed(raw),
-        F.coalesce(F.substring("post_cust_hit_time_gmt", 1, 3), F.lit("")),
+        F.coalesce(F.substring("post_cust_hit_time_gmt", 1, 6), F.lit("")),
         ["post_cust_hit_time_gmt", "hitid_high", "hitid_low"],
         "_n",
         **limits,

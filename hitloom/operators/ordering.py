@@ -4,14 +4,16 @@ A plain window puts every row of one key into one task, and a window without a
 key puts all rows into one. Each function here first counts rows per key, in one
 narrow pass that combines before the shuffle. If no key holds more than ``share``
 of all rows, a plain window per key is right and is used. Otherwise those keys
-are cut, along the sort order, into about ``pieces`` chunks; rows are windowed
-per (key, chunk), and a small table carries the result over the chunk borders.
-
-Fewer than ``1 / share`` keys can be that large, so the tables with cut points
-and borders have at most about ``pieces / share`` rows, whatever the data. They
-are checkpointed, hence the same for every use and every attempt of a task. Cut
-points are full sort keys picked by hash. Only rows that agree in the whole sort
-key cannot be told apart and stay together.
+are cut, along the sort order, into chunks of about a quarter of that size; rows
+are windowed per (key, chunk), and a small table carries the result over the
+chunk borders.
+
+Fewer than ``1 / share`` keys can be that large, and cut points are picked in
+proportion to rows, so all keys together have about ``4 / share`` of them,
+whatever the data. The tables with cut points and borders are checkpointed, hence
+the same for every use and every attempt of a task. Cut points are full sort keys
+picked by hash. Only rows that agree in the whole sort key cannot be told apart
+and stay together.
 """
 
 from __future__ import annotations
@@ -23,8 +25,7 @@ from pyspark.sql import functions as F
 
 from hitloom.session import checkpoint_folder
 
-SHARE = 0.001
-PIECES = 256
+SHARE = 0.0001
 MIN_ROWS = 1_000_000
 
 
@@ -46,9 +47,12 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) ->
     return left.join(F.broadcast(renamed), condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def heavy_keys(sizes: DataFrame, share: float = SHARE, pieces: int = PIECES, min_rows: int = MIN_ROWS) -> DataFrame:
-    """Keys of ``sizes`` (with ``_rows``) above the share: fewer than ``1 / share``."""
-    every = F.greatest(F.lit(1), (F.col("_rows") / pieces).cast("bigint"))
+def heavy_keys(sizes: DataFrame, share: float = SHARE, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Keys of ``sizes`` (with ``_rows``) above the share: fewer than ``1 / share``.
+
+    ``_every``: one of so many rows is to become a cut point.
+    """
+    every = F.greatest(F.lit(1), (F.col("_total") * (share / 4)).cast("bigint"))
     return (
         _with_total(sizes)
         .filter((F.col("_rows") > F.col("_total") * share) & (F.col("_rows") >= min_rows))
@@ -64,18 +68,26 @@ def _with_total(sizes: DataFrame) -> DataFrame:
 
 
 def _cut_points(narrow: DataFrame, heavy: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per heavy key a sorted array of about ``pieces`` sort keys."""
+    """Per heavy key a sorted array of sort keys, and every ``_step``-th of them."""
     picked = _match(narrow, heavy, keys, "inner").filter(F.pmod(F.xxhash64(*order), F.col("_every")) == 0)
-    return picked.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct(*order))).alias("_cuts"))
+    cuts = picked.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct(*order))).alias("_cuts"))
+    stepped = cuts.withColumn("_step", F.ceil(F.sqrt(F.size("_cuts"))).cast("int"))
+    return stepped.withColumn("_coarse", F.filter("_cuts", lambda cut, i: i % F.col("_step") == 0))
 
 
 def _with_chunk(df: DataFrame, cuts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``_chunk`` = number of cut points up to the row; 0 for keys that are not cut.
+
+    A row is compared with the coarse points, then with one step of the fine ones.
+    """
     here = F.struct(*order)
-    passed = F.size(F.filter("_cuts", lambda cut: cut <= here))
+    start = (F.size(F.filter("_coarse", lambda cut: cut <= here)) - 1) * F.col("_step")
+    fine = F.slice("_cuts", F.greatest(start, F.lit(0)) + 1, F.col("_step"))
+    passed = F.when(start >= 0, start + F.size(F.filter(fine, lambda cut: cut <= here))).otherwise(0)
     return (
         _match(df, cuts, keys, "left")
         .withColumn("_chunk", F.when(F.col("_cuts").isNull(), 0).otherwise(passed))
-        .drop("_cuts")
+        .drop("_cuts", "_step", "_coarse")
     )
 
 
@@ -117,9 +129,15 @@ def previous_value(
 
 
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, **limits: float) -> DataFrame:
-    """``out`` = 1, 2, ... per key in the given order."""
+    """``out`` = 1, 2, ... per key in the given order.
+
+    A large key needs a large first part of the key, which is cheaper to count.
+    """
     narrow = df.select(*dict.fromkeys([*keys, *order]))
-    heavy = _few(heavy_keys(_sizes(narrow, keys), **limits))
+    heavy = _few(heavy_keys(_sizes(narrow, keys[:1]), **limits))
+    if heavy is not None and len(keys) > 1:
+        within_large = _match(narrow, heavy.drop("_every"), keys[:1], "left_semi")
+        heavy = _few(heavy_keys(_sizes(within_large, keys), **limits))
     if heavy is None:
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 

@@ -40,6 +40,8 @@ def checkpoint_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is not None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")

@@ -59,7 +59,7 @@ def test_reports_read_few_columns_and_days(small_layers):
 
 
 def test_hot_visitor_and_hot_day_change_nothing(spark, small_layers):
-    cut = {"share": 0.02, "pieces": 5, "min_rows": 10}
+    cut = {"share": 0.02, "min_rows": 10}
     from hitloom.operators import silver as S
 
     bronze = small_layers.bronze

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hitloom.operators.ordering import heavy_keys, number_rows, number_within, previous_value
 
-CUT = {"share": 0.05, "pieces": 6, "min_rows": 5}
+CUT = {"share": 0.05, "min_rows": 5}
 PLAIN = {"min_rows": 10**9}
 
 
@@ -48,6 +48,14 @@ def test_number_within(spark, rows, limits):
     assert got == want
 
 
+def test_number_within_a_hot_pair(spark):
+    """One (visitor, time) pair holds most rows; others share its visitor."""
+    rows = [("v", 1, n) for n in range(80)] + [("v", 2, n) for n in range(5)] + [("w", 1, n) for n in range(15)]
+    df = spark.createDataFrame(rows, "v string, at int, n int")
+    got = number_within(df, ["v", "at"], ["n"], "nth", **CUT)
+    assert got.filter("nth != n + 1").isEmpty() and got.count() == 100
+
+
 @pytest.mark.parametrize("limits", [CUT, PLAIN])
 def test_number_rows(spark, rows, limits):
     df = spark.createDataFrame(rows, "k string, at int, n int, url string")
