@@ -58,7 +58,12 @@ def load_inputs(
         schema = read_hit_schema(spark, f"{lookup_folder}/columns.csv")
         feed: HitFeed = read_hits(spark, feed_paths, schema, settings.max_bad_records)
         raw = write_layer(feed.hits, raw_table)
-        feed.check()
+        try:
+            feed.check()
+        except ValueError:
+            # A table with too many rejects must not be taken for a finished one.
+            spark.sql(f"DROP TABLE {raw_table}")
+            raise
     sdr = {kind: read_sdr(spark, f"{lookup_folder}/sdr/{file}.tsv", kind) for file, kind in SDR_FILES.items()}
     return Inputs(
         raw=raw,

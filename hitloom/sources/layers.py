@@ -22,6 +22,12 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def laid_out_by_day(df: DataFrame, by: str, cluster: Sequence[str] = ()) -> DataFrame:
+    """Rows with ``ts_date``, balanced over tasks by day and sorted in each task."""
+    dated = df.withColumn("ts_date", F.to_date(by)).hint("rebalance", F.col("ts_date"))
+    return dated.sortWithinPartitions("ts_date", *cluster, by)
+
+
 def write_layer(
     df: DataFrame,
     name: str,
@@ -46,11 +52,8 @@ def write_layer(
     if by is None:
         df.write.mode("overwrite").format("parquet").saveAsTable(name)
         return spark.table(name)
-    dated = df.withColumn("ts_date", F.to_date(by))
-    order = ["ts_date", *cluster, by]
     (
-        dated.hint("rebalance", F.col("ts_date"))
-        .sortWithinPartitions(*order)
+        laid_out_by_day(df, by, cluster)
         .write.mode("overwrite")
         .format("parquet")
         .partitionBy("ts_date")

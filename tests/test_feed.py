@@ -53,6 +53,8 @@ def test_lookups_and_naming_tables(spark, tmp_path):
 
 def test_layer_sink_skips_replaces_and_partitions(spark):
     df = spark.range(100).selectExpr("id", "timestamp_seconds(1700000000 + id * 3600) AS ts_utc", "id % 3 AS k")
+    plan = LY.laid_out_by_day(df, "ts_utc", ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
     LY.write_layer(df, "sink_t", by="ts_utc", cluster=["k"])
     assert LY.write_layer(df.limit(1), "sink_t", if_exists="skip").count() == 100
     table = spark.table("sink_t")

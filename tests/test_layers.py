@@ -121,3 +121,4 @@ def test_from_files_to_gold(spark, tmp_path):
         load_inputs(
             spark, str(tmp_path / "feed" / "*.tsv"), str(lookups), Settings(max_bad_records=0), "files_raw_2"
         )
+    assert not spark.catalog.tableExists("files_raw_2")

@@ -437,7 +437,7 @@ O["lookup_labels"] = with_ctes(
     "bronze", *_LABELS[:5],
 )
 O["reduced_lookup"] = with_ctes(
-    "SELECT id, name FROM l_browser WHERE id IN (SELECT TRY_CAST(browser AS BIGINT) FROM bronze)", "l_browser", "bronze"
+    "SELECT CAST(id AS BIGINT) AS id, name FROM l_browser WHERE id IN (SELECT TRY_CAST(browser AS BIGINT) FROM bronze)", "l_browser", "bronze"
 )
 O["gold_page_views"] = with_ctes(US_GOLD + "gold_p", "gold_p")
 O["gold_business"] = with_ctes(US_GOLD + "gold_b", "gold_b")
