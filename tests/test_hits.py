@@ -2,10 +2,8 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
-from hitloom.config import Settings
 from hitloom.operators import bronze as B
 from hitloom.operators import event_map as M
 from hitloom.operators import gold as G
