@@ -17,16 +17,22 @@ single-line records are used as they are, others are joined with ``\\n``.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitloom.session import checkpoint_folder
 
+# The Arrow functions below travel with the job: executors need not have this
+# package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Hit time and the two hit ids next to each other.
 ANCHOR_PATTERN = r"(?:^|\t)[0-9]{10}\t[0-9]{10,20}\t[0-9]{10,20}(?=\t|\z)"
 ANCHOR_FIELD = 317  # zero-based field of the hit time
