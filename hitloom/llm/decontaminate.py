@@ -87,7 +87,8 @@ def aligned(index: DataFrame, searched: DataFrame, slack: int = 0) -> DataFrame:
     lists = index.join(searched, "term").withColumn("shift", F.col("position") - F.col("place"))
     if slack:
         band = F.floor(F.col("shift") / (slack + 1))
-        lists = lists.withColumn("shift", F.explode(F.array(band, band - 1)) * (slack + 1))
+        near = F.array(band * (slack + 1), (band - 1) * (slack + 1))
+        lists = lists.withColumn("shift", F.explode(near))
     return lists.groupBy("item", "text_key", "shift").agg(F.collect_set("place").alias("places"))
 
 
