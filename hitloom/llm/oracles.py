@@ -3,6 +3,18 @@
 _WORDS = "regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op3_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) || '0' AS x FROM pages
+), least AS (
+  SELECT x, min(page_id) AS least FROM p GROUP BY x
+)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((CAST('0x' || substr(x, 5 * i // 4 + 1, 2) AS INTEGER) >> (3 - (5 * i) % 4)) & 31) + 1, 1) FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> least THEN least END AS refers_to
+FROM p JOIN least USING (x)""",
     "op7_decontaminate": f"""
 WITH item AS (
   SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark
