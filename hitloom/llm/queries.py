@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import ann, decontaminate, line_dedup, mixing, simhash, toxicity, warc
+from hitloom.llm import ann, decontaminate, langmix, line_dedup, mixing, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langmix.identify_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_ann": op2_ann,
@@ -52,4 +56,5 @@ QUERIES: dict[str, Query] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
+    "op10_language": op10_language,
 }
