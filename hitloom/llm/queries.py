@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import ann, decontaminate, langmix, line_dedup, mixing, simhash, toxicity, warc
+from hitloom.llm import ann, decontaminate, html_template, langmix, line_dedup, mixing, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(_table(spark, sf_dir, "pages"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_ann": op2_ann,
     "op3_warc": op3_warc,
+    "op4_html": op4_html,
     "op5_line_dedup": op5_line_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
