@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import ann, decontaminate, html_template, langmix, line_dedup, mixing, simhash, toxicity, warc
+from hitloom.llm import ann, decontaminate, html_template, langmix, line_dedup, mixing, pseudonyms, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
 
 
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.replace_values(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op3_warc": op3_warc,
     "op4_html": op4_html,
     "op5_line_dedup": op5_line_dedup,
+    "op6_pseudonyms": op6_pseudonyms,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
