@@ -40,4 +40,50 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN counted USING (row_id) LEFT JOIN named USING (row_id)""",
+    "op9_mixing": """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM documents
+), totals AS (
+  SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM d GROUP BY source HAVING sum(n_tokens) > 0
+), whole AS (
+  SELECT CAST(sum(tokens) AS BIGINT) AS budget, count(*) AS k FROM totals
+), plain AS (
+  SELECT (ln(sum(p)) - sum(p * ln(p)) / sum(p)) / ln(count(*)) >= 0.9 OR count(*) = 1 AS even_enough
+  FROM (SELECT CAST(tokens AS DOUBLE) AS p FROM totals)
+), halving AS (
+  SELECT 0 AS step, CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high
+  UNION ALL
+  SELECT step + 1, CASE WHEN up THEN (low + high) / 2 ELSE low END, CASE WHEN up THEN high ELSE (low + high) / 2 END
+  FROM (
+    SELECT step, low, high,
+      (ln(sum(p)) - sum(p * ln(p)) / sum(p)) / ln(count(*)) >= 0.9 OR max(p / tokens) * any_value(budget) / sum(p) > 4.0 AS up
+    FROM (SELECT step, low, high, tokens, budget, pow(CAST(tokens AS DOUBLE), (low + high) / 2) AS p FROM halving, totals, whole WHERE step < 24)
+    GROUP BY step, low, high
+  )
+), power AS (
+  SELECT CASE WHEN (SELECT even_enough FROM plain) THEN 1.0 ELSE (SELECT high FROM halving WHERE step = 24) END AS a
+), weighted AS (
+  SELECT source, tokens, pow(CAST(tokens AS DOUBLE), a) AS p, sum(pow(CAST(tokens AS DOUBLE), a)) OVER () AS s FROM totals, power
+), planned AS (
+  SELECT source, tokens, CAST(round(p / s * budget) AS BIGINT) AS quota FROM weighted, whole
+), budgeted AS (
+  SELECT source, tokens, quota // tokens AS epochs, quota % tokens AS rest FROM planned
+), uses AS (
+  SELECT doc_id, d.source, n_tokens, epochs, rest, epoch,
+    CAST('0x' || substr(md5('7|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) % CAST(ceil(tokens / 100000.0) AS BIGINT) AS block
+  FROM d JOIN budgeted b ON d.source IS NOT DISTINCT FROM b.source, unnest(range(0, epochs + 1)) AS t(epoch)
+  WHERE epoch < epochs OR rest > 0
+), blocks AS (
+  SELECT source, epoch, block,
+    coalesce(sum(block_tokens) OVER (PARTITION BY source, epoch ORDER BY md5('7|' || epoch || '|block|' || block), block
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS block_start
+  FROM (SELECT source, epoch, block, sum(n_tokens) AS block_tokens FROM uses GROUP BY ALL)
+), placed AS (
+  SELECT u.*, block_start + coalesce(sum(n_tokens) OVER (PARTITION BY u.source, u.epoch, u.block
+      ORDER BY substr(md5('7|' || u.epoch || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13), doc_id, n_tokens
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM uses u JOIN blocks k ON u.source IS NOT DISTINCT FROM k.source AND u.epoch = k.epoch AND u.block = k.block
+)
+SELECT doc_id, source, n_tokens, CAST(epoch AS BIGINT) AS epoch, CAST(block AS BIGINT) AS block, CAST(start AS BIGINT) AS start
+FROM placed WHERE epoch < epochs OR start + n_tokens <= rest""",
 }
