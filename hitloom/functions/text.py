@@ -21,10 +21,10 @@ def sanitize_name(name: str) -> str:
     return safe or "col"
 
 
-def unique_names(names: Iterable[str]) -> list[str]:
-    """Suffix repeated names with ``_2``, ``_3``, ... until none repeats."""
+def unique_names(names: Iterable[str], taken: Iterable[str] = ()) -> list[str]:
+    """Suffix names that repeat, or are ``taken`` already, with ``_2``, ``_3``, ... until none does."""
     wanted = list(names)
-    taken: set[str] = set()
+    taken = set(taken)
     repeats: dict[str, int] = {}
     result = []
     for name in wanted:

@@ -239,8 +239,12 @@ def to_gold(
 
 
 def dedupe_events(gold: DataFrame) -> DataFrame:
-    """One row per insert id; equal-time events of one visitor share theirs."""
+    """One row per insert id; equal-time events of one visitor share theirs.
+
+    Events without an id are not taken for one another: all of them stay.
+    """
     keep = F.struct("original_hit_no", "event_sequence")
     rest = [name for name in gold.columns if name != "insert_id"]
     best = F.min_by(F.struct(*rest), keep)
-    return gold.groupBy("insert_id").agg(best.alias("_row")).select("insert_id", "_row.*").select(*gold.columns)
+    named = gold.filter(F.col("insert_id").isNotNull()).groupBy("insert_id").agg(best.alias("_row"))
+    return named.select("insert_id", "_row.*").select(*gold.columns).union(gold.filter(F.col("insert_id").isNull()))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitloom.session import checkpoint_folder
+
 
 def unique_lookup(lookup: DataFrame) -> DataFrame:
     """One row per id, so that a label join never multiplies hits."""
@@ -17,6 +21,22 @@ def reduce_lookup(lookup: DataFrame, hits: DataFrame, key: str) -> DataFrame:
     return lookup.join(present, "id", "left_semi")
 
 
+def reduce_lookups(lookups: Mapping[str, tuple[DataFrame, str]], hits: DataFrame) -> dict[str, DataFrame]:
+    """`reduce_lookup` and `unique_lookup` of several (lookup, key column) in one pass over the hits.
+
+    The ids that occur are one small table of (lookup, id), kept in the checkpoint folder.
+    """
+    pairs = F.array(
+        *[F.struct(F.lit(name).alias("lookup"), F.col(key).try_cast("bigint").alias("id")) for name, (_, key) in lookups.items()]
+    )
+    checkpoint_folder(hits.sparkSession)
+    present = hits.select(F.explode(pairs).alias("p")).select("p.*").filter("id IS NOT NULL").distinct().checkpoint()
+    return {
+        name: unique_lookup(table).join(present.filter(F.col("lookup") == name), "id", "left_semi")
+        for name, (table, _) in lookups.items()
+    }
+
+
 def label(code: str, name: str, prefix: str) -> Column:
     """The looked-up name, else the prefix with the code; NULL for no code."""
     return F.coalesce(F.col(name), F.concat(F.lit(prefix + " "), F.col(code)))

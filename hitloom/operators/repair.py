@@ -40,6 +40,8 @@ ANCHOR_RANGE = 5
 MAX_RECORD_CHARS = 64 * 1024 * 1024
 MAX_TAB_FACTOR = 8
 PADDING_TOLERANCE = 3
+# Verdicts on records that are not repaired.
+BAD_VERDICTS = ("fragment", "reject", "oversize", "no_width")
 LINE_BREAK = "\\n"
 CHUNK_BITS = 17  # chunks of at most 2 ** 17 lines
 CHUNK = ("path", "block", "part")
@@ -346,9 +348,10 @@ def assemble_records(indexed: DataFrame, widths: DataFrame, max_chars: int = MAX
     """Whole records of each file with the number of their tabs.
 
     ``widths`` has one row per file. A record that outgrows ``max_chars`` or eight
-    widths ends right there and is marked ``oversize``.
+    widths ends right there and is marked ``oversize``. In a file without a width
+    above zero each line that is not empty is a record of its own, with a NULL width.
     """
-    sized = widths.select("path", F.col("width").cast("int").alias("width"))
+    sized = known_widths(widths)
     narrow = indexed.select(*CHUNK, "row", "tabs", "chars").join(sized, "path")
     reports = narrow.groupBy(*CHUNK).applyInArrow(_report_chunk(max_chars), _REPORT)
     states = (
@@ -371,7 +374,23 @@ def assemble_records(indexed: DataFrame, widths: DataFrame, max_chars: int = MAX
         )
     )
     too_large = (F.length("record") > max_chars) | (F.col("tabs") > F.col("width") * MAX_TAB_FACTOR)
-    return single.unionByName(joined).select("*", too_large.alias("oversize"))
+    unsized = indexed.join(sized, "path", "left_anti").filter("chars > 0").selectExpr(
+        "path", "block AS record_block", "row AS record_row", "text AS record", "CAST(tabs AS BIGINT) AS tabs",
+        "CAST(NULL AS INT) AS width", "false AS oversize",
+    )
+    return single.unionByName(joined).select("*", too_large.alias("oversize")).unionByName(unsized)
+
+
+def known_widths(widths: DataFrame) -> DataFrame:
+    return widths.filter("width > 0").select("path", F.col("width").cast("int").alias("width"))
+
+
+def require_widths(indexed: DataFrame, widths: DataFrame, named: int = 20) -> None:
+    """Raise if a file has no width, naming the first ``named`` such files."""
+    lost = indexed.select("path").distinct().join(known_widths(widths), "path", "left_anti")
+    paths = [row.path for row in lost.orderBy("path").limit(named).collect()]
+    if paths:
+        raise ValueError(f"no record width was found in {', '.join(paths)}; give one, or reject their lines")
 
 
 # -- verdicts ------------------------------------------------------------------
@@ -421,7 +440,8 @@ def classify_records(
     missing = width - tabs
     oversize = F.col("oversize") if "oversize" in records.columns else F.lit(False)
     first = (
-        F.when(oversize, "oversize")
+        F.when(width.isNull(), "no_width")
+        .when(oversize, "oversize")
         .when(missing == 0, "exact")
         .when((missing > 0) & (missing <= tolerance), "pad")
         .when((missing < 0) & (-missing <= tolerance), "trim")
@@ -450,10 +470,11 @@ def classify_records(
 def repair_stats(classified: DataFrame) -> DataFrame:
     """Records, good, bad and realigned per file, and in total (NULL path).
 
-    An oversize record counts as bad but not as a record.
+    An oversize record counts as bad but not as a record. Lines of files without a
+    width are bad records.
     """
     verdict = F.col("verdict")
-    bad = verdict.isin("fragment", "reject", "oversize")
+    bad = verdict.isin(*BAD_VERDICTS)
     return classified.rollup("path").agg(
         F.count_if(verdict != "oversize").alias("records"),
         F.count_if(~bad).alias("ok"),
@@ -471,11 +492,20 @@ def repair_files(
     search: int = ANCHOR_RANGE,
     max_chars: int = MAX_RECORD_CHARS,
     store: str | None = None,
+    missing_width: str = "error",
 ) -> DataFrame:
-    """Classified records of all files; the width is discovered unless given."""
+    """Classified records of all files; the width is discovered unless given.
+
+    A file in which none is found is an error, or with ``missing_width="reject"`` all
+    its lines are rejects with the verdict ``no_width``.
+    """
+    if missing_width not in ("error", "reject"):
+        raise ValueError("missing_width is 'error' or 'reject'")
     indexed = index_lines(read_lines(spark, paths), store=store)
     if width is None:
         widths = canonical_tabs(tab_histogram(indexed))
+        if missing_width == "error":
+            require_widths(indexed, widths)
     else:
         widths = indexed.select("path").distinct().withColumn("width", F.lit(width))
     return classify_records(assemble_records(indexed, widths, max_chars), tolerance, anchor_field, search)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,16 +136,18 @@ def _named_props(sdr: DataFrame) -> DataFrame:
     )
 
 
-def sdr_alias_pairs(named: DataFrame) -> list[tuple[str, str]]:
+def sdr_alias_pairs(named: DataFrame, taken: Iterable[str] = ()) -> list[tuple[str, str]]:
     """(source column, alias) per naming row, in code order.
 
+    An alias that repeats, or meets a ``taken`` column name, gets a suffix.
+
     The naming tables describe columns, so they are as short as a table is wide
     (at most 100 eVars here); they are read to the driver like a schema.
     """
     found = sorted(
         map(tuple, named.distinct().collect()), key=lambda row: (row[0], len(row[2]), row[2], row[3])
     )
-    aliases = unique_names(alias_name(name, prefix) for _, prefix, _, name in found)
+    aliases = unique_names((alias_name(name, prefix) for _, prefix, _, name in found), taken)
     return [(source + number, alias) for (source, _, number, _), alias in zip(found, aliases)]
 
 
@@ -155,16 +157,15 @@ def alias_columns(df: DataFrame, pairs: list[tuple[str, str]]) -> list[Column]:
     return [
         F.expr(f"`{source}` AS `{alias}`" if source in have else f"CAST(NULL AS STRING) AS `{alias}`")
         for source, alias in pairs
-        if alias not in have
     ]
 
 
 def alias_evars(df: DataFrame, sdr_evars: DataFrame) -> DataFrame:
-    return df.select("*", *alias_columns(df, sdr_alias_pairs(_named_evars(sdr_evars))))
+    return df.select("*", *alias_columns(df, sdr_alias_pairs(_named_evars(sdr_evars), df.columns)))
 
 
 def alias_props(df: DataFrame, sdr_props: DataFrame) -> DataFrame:
-    return df.select("*", *alias_columns(df, sdr_alias_pairs(_named_props(sdr_props))))
+    return df.select("*", *alias_columns(df, sdr_alias_pairs(_named_props(sdr_props), df.columns)))
 
 
 def to_silver(
@@ -181,7 +182,7 @@ def to_silver(
     viewed = detect_page_view(
         named, settings.use_post_page_event, settings.use_url_change, settings.use_evar_instances, **limits
     ).filter(F.col("ts_utc").isNotNull())
-    pairs = sdr_alias_pairs(_named_evars(sdr_evars).unionByName(_named_props(sdr_props)))
+    pairs = sdr_alias_pairs(_named_evars(sdr_evars).unionByName(_named_props(sdr_props)), viewed.columns)
     has_events = F.when(F.size("events_enhanced") > 0, "has_events").otherwise("no_events")
     return viewed.select(
         *[F.col(f"`{name}`") for name in viewed.columns if name != "events_array"],

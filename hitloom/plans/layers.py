@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import warnings
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hitloom.config import Settings
 from hitloom.operators import bronze as B
 from hitloom.operators import event_map as M
 from hitloom.operators import gold as G
 from hitloom.operators import silver as S
-from hitloom.operators.lookups import reduce_lookup, unique_lookup
+from hitloom.operators.lookups import reduce_lookups
 from hitloom.plans import quality as Q
 from hitloom.sources.feed import HitFeed, read_hit_schema, read_hits, read_lookup, read_sdr
 from hitloom.sources.layers import GOLD_CLUSTER, SILVER_CLUSTER, table_exists, write_layer
@@ -23,6 +25,9 @@ VALUE_LOOKUPS = (
     "resolution", "color_depth", "javascript_version", "plugins", "search_engines",
 )
 
+# Verdicts of the layer checks that ask for attention.
+WARNING_VERDICTS = ("warn", "low", "high", "loss", "excess")
+
 # Naming file -> kind.
 SDR_FILES = {"custom-events": "events", "evars": "evars", "custom-props": "props"}
 
@@ -57,13 +62,18 @@ def load_inputs(
     else:
         schema = read_hit_schema(spark, f"{lookup_folder}/columns.csv")
         feed: HitFeed = read_hits(spark, feed_paths, schema, settings.max_bad_records)
-        raw = write_layer(feed.hits, raw_table)
+        # The table gets its name once it is checked: what a lost driver leaves
+        # behind, or one with too many rejects, is never taken for a finished one.
+        unchecked = f"{raw_table}_unchecked"
+        write_layer(feed.hits, unchecked)
         try:
             feed.check()
         except ValueError:
-            # A table with too many rejects must not be taken for a finished one.
-            spark.sql(f"DROP TABLE {raw_table}")
+            spark.sql(f"DROP TABLE {unchecked}")
             raise
+        spark.sql(f"DROP TABLE IF EXISTS {raw_table}")
+        spark.sql(f"ALTER TABLE {unchecked} RENAME TO {raw_table}")
+        raw = spark.table(raw_table)
     sdr = {kind: read_sdr(spark, f"{lookup_folder}/sdr/{file}.tsv", kind) for file, kind in SDR_FILES.items()}
     return Inputs(
         raw=raw,
@@ -113,30 +123,90 @@ def plan_layers(inputs: Inputs, settings: Settings = Settings()) -> Layers:
 
 
 def run_layers(
-    inputs: Inputs, settings: Settings = Settings(), prefix: str = "", if_exists: str = "skip"
+    inputs: Inputs, settings: Settings = Settings(), prefix: str = "", if_exists: str = "skip", check: bool = False
 ) -> Layers:
     """Write each layer once and build the next one from its table.
 
-    Tables that exist are kept unless ``if_exists="replace"``. A table written
-    here also has a known size, by which Spark decides on broadcasting it; label
-    lookups are first reduced to the ids that occur.
+    Layers that exist are kept unless ``if_exists="replace"``; of a kept layer
+    nothing is planned or read. The naming tables and the event map are rebuilt
+    whenever silver is, the reduced label lookups whenever gold is, since they
+    belong to the hits of that build. With ``check`` the layers built are checked
+    and `LayerWarning` is issued for each verdict that asks for it.
     """
+    spark = inputs.raw.sparkSession
+    if if_exists not in ("replace", "skip"):
+        raise ValueError("if_exists is 'replace' or 'skip'")
+
+    def present(name: str) -> bool:
+        return if_exists == "skip" and table_exists(spark, prefix + name)
 
     def put(df: DataFrame, name: str, by: str | None = None, cluster=()) -> DataFrame:
-        return write_layer(df, prefix + name, by=by, cluster=cluster, if_exists=if_exists)
-
-    planned = plan_layers(inputs, settings)
-    evars = put(planned.evars, "sdr_evars")
-    custom = put(planned.custom_events, "sdr_custom_events")
-    event_map = put(planned.event_map, "event_map")
-    bronze = put(planned.bronze, "bronze")
-    silver = put(
-        S.to_silver(bronze, evars, inputs.props_raw, settings, event_map), "silver", "ts_utc", SILVER_CLUSTER
-    ).drop("ts_date")
-    labels = dict(inputs.lookups)
-    for table, key, _ in G.LABELS.values():
-        labels[table] = put(unique_lookup(reduce_lookup(inputs.lookups[table], silver, key)), f"label_{table}")
-    gold = put(
-        G.to_gold(silver, event_map, inputs.base_events, labels, settings), "gold", "ts_utc", GOLD_CLUSTER
-    )
-    return Layers(inputs.raw, bronze, silver, gold, event_map, custom, evars)
+        return write_layer(df, prefix + name, by=by, cluster=cluster)
+
+    def kept(name: str) -> DataFrame:
+        return spark.table(prefix + name)
+
+    built = [name for name in ("bronze", "silver", "gold") if not present(name)]
+    bronze = put(B.to_bronze(inputs.raw, settings), "bronze") if "bronze" in built else kept("bronze")
+    naming = ("sdr_evars", "sdr_custom_events", "event_map")
+    if "silver" in built or not all(map(present, naming)):
+        evars = put(M.sdr_evars(inputs.evars_raw, settings.evar_code_offset), "sdr_evars")
+        custom = put(M.sdr_custom_events(inputs.custom_events_raw, settings.custom_event_base), "sdr_custom_events")
+        ranked = M.event_map_ranked(
+            inputs.base_events,
+            inputs.custom_events_raw,
+            inputs.evars_raw,
+            settings.custom_event_base,
+            settings.evar_code_offset,
+        )
+        event_map = put(ranked, "event_map")
+    else:
+        evars, custom, event_map = map(kept, naming)
+    if "silver" in built:
+        made = S.to_silver(bronze, evars, inputs.props_raw, settings, event_map)
+        silver = put(made, "silver", "ts_utc", SILVER_CLUSTER)
+    else:
+        silver = kept("silver")
+    silver = silver.drop("ts_date")
+    if "gold" in built:
+        wanted = {table: (inputs.lookups[table], key) for table, key, _ in G.LABELS.values()}
+        labels = dict(inputs.lookups)
+        for table, reduced in reduce_lookups(wanted, silver).items():
+            labels[table] = put(reduced, f"label_{table}")
+        made = G.to_gold(silver, event_map, inputs.base_events, labels, settings)
+        gold = put(made, "gold", "ts_utc", GOLD_CLUSTER)
+    else:
+        gold = kept("gold")
+    layers = Layers(inputs.raw, bronze, silver, gold, event_map, custom, evars)
+    if check:
+        for note in check_layers(layers, settings, built):
+            warnings.warn(note, LayerWarning, stacklevel=2)
+    return layers
+
+
+class LayerWarning(UserWarning):
+    """A layer that was built but looks wrong."""
+
+
+def check_layers(layers: Layers, settings: Settings = Settings(), names: Sequence[str] = ("bronze", "silver", "gold")) -> list[str]:
+    """Notes on the checks that warn, of the raw table and the layers named."""
+    notes = []
+
+    def look(layer: str, df: DataFrame) -> None:
+        row = df.first().asDict()
+        notes.extend(f"{layer}: {name} is {value!r}" for name, value in row.items() if _asks(value))
+
+    if settings.expected_rows:
+        counted = layers.raw.agg(F.count(F.lit(1)).alias("total_rows"))
+        look("raw", Q.row_drift(counted, settings.expected_rows))
+    if "bronze" in names:
+        look("bronze", Q.bronze_checks(layers.bronze, settings))
+    if "silver" in names:
+        look("silver", Q.silver_checks(layers.silver, layers.event_map, settings))
+    if "gold" in names:
+        look("gold", Q.gold_checks(layers.silver, layers.gold))
+    return notes
+
+
+def _asks(verdict: object) -> bool:
+    return isinstance(verdict, str) and (verdict in WARNING_VERDICTS or verdict.startswith("✗"))

@@ -296,18 +296,42 @@ def silver_checks(silver: DataFrame, event_map: DataFrame, settings: Settings =
 # -- gold ---------------------------------------------------------------------
 
 
+def _distinct_values(df: DataFrame, **columns: Column) -> DataFrame:
+    """One row of distinct counts, each from a reduction of its own.
+
+    Several distinct counts in one aggregate would multiply every row before the
+    shuffle. Here each value is reduced to distinct ones in the tasks first, and the
+    scan reads one column.
+    """
+    parts = [
+        df.select(value.alias("_value")).filter("_value IS NOT NULL").distinct().agg(F.count(F.lit(1)).alias(name))
+        for name, value in columns.items()
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.crossJoin(F.broadcast(part))  # one row each
+    return result
+
+
 def gold_metrics(gold: DataFrame) -> DataFrame:
-    return gold.agg(
+    plain = gold.agg(
         F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("distinct_id").alias("unique_visitors"),
-        F.count_distinct("insert_id").alias("unique_events"),
         F.count_if(F.col("event_name") == "Page Viewed").alias("page_view_events"),
         F.count_if("is_link_tracking").alias("link_tracking_events"),
-        F.count_distinct("event_name").alias("unique_event_types"),
-        F.count_distinct(F.to_date("ts_utc")).alias("date_range_days"),
         F.round(F.avg(F.col("visit_page_num").try_cast("double")), 2).alias("avg_pages_per_visit"),
         F.round(F.avg(F.col("event_sequence").cast("double")), 2).alias("avg_events_per_hit"),
     )
+    distinct = _distinct_values(
+        gold,
+        unique_visitors=F.col("distinct_id"),
+        unique_events=F.col("insert_id"),
+        unique_event_types=F.col("event_name"),
+        date_range_days=F.to_date("ts_utc"),
+    )
+    return plain.crossJoin(F.broadcast(distinct)).select(
+        "total_events", "unique_visitors", "unique_events", "page_view_events", "link_tracking_events",
+        "unique_event_types", "date_range_days", "avg_pages_per_visit", "avg_events_per_hit",
+    )
 
 
 def event_breakdown(gold: DataFrame) -> DataFrame:
@@ -474,13 +498,22 @@ def eventification_check(silver: DataFrame, gold: DataFrame, limit: int | None =
         F.count(F.lit(1)).alias("silver_hits"), F.count_distinct("distinct_id").alias("silver_visitors")
     )
     page_view = F.col("event_name") == "Page Viewed"
-    events = gold.filter(F.col("ts_utc").isNotNull()).groupBy(day).agg(
-        F.count(F.lit(1)).alias("gold_events"),
-        F.count_distinct("distinct_id").alias("gold_visitors"),
-        F.count_distinct("original_hit_no").alias("unique_hits"),
-        F.count_distinct(F.when(page_view, F.col("original_hit_no"))).alias("page_views"),
-        F.count_if(~page_view).alias("business_events"),
-    )
+    timed = gold.filter(F.col("ts_utc").isNotNull())
+    # Reduced to one row per hit first, so that no event row is multiplied.
+    per_hit = timed.groupBy(day, "original_hit_no").agg(
+        F.count(F.lit(1)).alias("_events"),
+        F.max(page_view).alias("_viewed"),
+        F.count_if(~page_view).alias("_business"),
+    )
+    hit = F.col("original_hit_no").isNotNull()
+    events = per_hit.groupBy("date_utc").agg(
+        F.sum("_events").alias("gold_events"),
+        F.count_if(hit).alias("unique_hits"),
+        F.count_if(hit & F.col("_viewed")).alias("page_views"),
+        F.sum("_business").alias("business_events"),
+    )
+    visitors = timed.select(day, "distinct_id").distinct().groupBy("date_utc").agg(F.count("distinct_id").alias("gold_visitors"))
+    events = events.join(visitors, "date_utc")
     same = lambda a, b, what: F.when(F.col(a) == F.col(b), f"✓ {what} preservation").otherwise(f"✗ {what} count mismatch")
     result = hits.join(events, "date_utc").select(
         "date_utc",

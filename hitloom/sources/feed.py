@@ -35,10 +35,11 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*unique_names(sanitize_name(name) for name in df.columns))
 
 
-def split_hits(lines: DataFrame, schema: T.StructType, bad: Observation | None = None) -> DataFrame:
+def split_hits(lines: DataFrame, schema: T.StructType, bad: Observation | str | None = None) -> DataFrame:
     """Lines (column ``value``) as hits: short ones padded, long ones left out.
 
-    ``bad`` counts the long lines during the same pass that uses the hits.
+    ``bad`` counts the long lines during the same pass that uses the hits: an
+    observation, or for a stream the name under which each batch reports them.
     """
     width = len(schema.fields)
     fields = lines.select(F.split("value", "\t", -1).alias("f"))
@@ -78,9 +79,29 @@ def read_hits(
     return HitFeed(split_hits(lines, schema, rejected), rejected, max_bad)
 
 
-def external_hits(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, view: str) -> DataFrame:
-    """The same rows as a view over the files, nothing copied."""
-    hits = split_hits(spark.read.text(paths if isinstance(paths, str) else list(paths)), schema)
+def feed_line_counts(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: lines ``kept``, of these ``padded``, and lines ``rejected`` as too long."""
+    width, size = len(schema.fields), F.size(F.split("value", "\t", -1))
+    return lines.agg(
+        F.count_if(size <= width).alias("kept"),
+        F.count_if(size < width).alias("padded"),
+        F.count_if(size > width).alias("rejected"),
+    )
+
+
+def external_hits(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, view: str, max_bad: int = 10000
+) -> DataFrame:
+    """The same rows as a view over the files, nothing copied.
+
+    The lines are counted once when the view is made, since a view has no run of its
+    own to count them in; more than ``max_bad`` long ones are an error.
+    """
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
+    count = feed_line_counts(lines, schema).first()["rejected"]
+    if count > max_bad:
+        raise ValueError(f"{count} bad records in the feed, {max_bad} allowed")
+    hits = split_hits(lines, schema)
     hits.createOrReplaceTempView(view)
     return hits
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitloom.operators.repair import BAD_VERDICTS
+
 # Columns that rows are laid out by within a day.
 SILVER_CLUSTER = ("distinct_id", "is_page_view")
 GOLD_CLUSTER = ("distinct_id", "event_name", "is_page_view")
@@ -74,7 +76,7 @@ def export_json(df: DataFrame, path: str, columns: Sequence[str] = EXPORT_COLUMN
 
 def write_repaired(records: DataFrame, path: str, compression: str = "gzip") -> None:
     """Clean and rejected records in one pass, as ``outcome=clean`` and ``outcome=reject``."""
-    outcome = F.when(F.col("verdict").isin("reject", "fragment", "oversize"), "reject").otherwise("clean")
+    outcome = F.when(F.col("verdict").isin(*BAD_VERDICTS), "reject").otherwise("clean")
     (
         records.select(F.coalesce("fixed", "record").alias("value"), outcome.alias("outcome"))
         .write.mode("overwrite")

@@ -14,9 +14,16 @@ from hitloom.config import Settings
 from hitloom.operators.bronze import to_bronze
 from hitloom.sources.feed import split_hits
 
+#: Name of the counts in a query's progress.
+FEED_METRICS = "feed_lines"
+
 
 def stream_bronze(
     spark: SparkSession, folder: str, schema: T.StructType, settings: Settings = Settings()
 ) -> DataFrame:
-    """Bronze rows of feed files as they arrive in a folder."""
-    return to_bronze(split_hits(spark.readStream.text(folder), schema), settings)
+    """Bronze rows of feed files as they arrive in a folder.
+
+    Each batch reports its ``lines`` and ``bad_records`` (long lines, left out) as the
+    observed metrics ``feed_lines`` of the query's progress.
+    """
+    return to_bronze(split_hits(spark.readStream.text(folder), schema, FEED_METRICS), settings)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from hitloom.sources import feed as FD
 from hitloom.sources import layers as LY
-from hitloom.streaming import stream_bronze
+from hitloom.streaming import FEED_METRICS, stream_bronze
 from hitloom.operators.bronze import to_bronze
 
 
@@ -66,6 +66,15 @@ def test_layer_sink_skips_replaces_and_partitions(spark):
         LY.write_layer(df, "sink_t", if_exists="append")
 
 
+def test_view_over_too_many_long_lines(spark, files):
+    schema = FD.hit_schema("a,b,c")
+    assert FD.external_hits(spark, f"{files}/*.tsv*", schema, "few_bad", max_bad=1).count() == 5
+    with pytest.raises(ValueError, match="1 bad records"):
+        FD.external_hits(spark, f"{files}/*.tsv*", schema, "many_bad", max_bad=0)
+    counts = FD.feed_line_counts(spark.read.text(f"{files}/*.tsv*"), schema).first()
+    assert tuple(counts) == (5, 2, 1)
+
+
 def test_export_is_gzipped_json(spark, tmp_path):
     df = spark.range(3).selectExpr("CAST(id AS STRING) AS user_agent", "id AS other", "'u' AS page_url")
     LY.export_json(df, str(tmp_path / "out"))
@@ -80,7 +89,7 @@ def test_row_wise_operators_on_a_stream(spark, tmp_path):
     ).split()
     folder = tmp_path / "in"
     folder.mkdir()
-    lines = [["1700000000", "", "", "", "1", "2", "", "", "", "", "", "1,200=2", ""], ["", "", "", "x", "", "", "m"]]
+    lines = [["1700000000", "", "", "", "1", "2", "", "", "", "", "", "1,200=2", ""], ["", "", "", "x", "", "", "m"], ["x"] * 20]
     (folder / "a.tsv").write_text("".join("\t".join(line) + "\n" for line in lines))
     schema = FD.hit_schema(names)
     stream = stream_bronze(spark, str(folder), schema)
@@ -89,6 +98,8 @@ def test_row_wise_operators_on_a_stream(spark, tmp_path):
         .option("checkpointLocation", str(tmp_path / "c")).start()
     )
     query.awaitTermination(120)
+    seen = [p.observedMetrics[FEED_METRICS] for p in query.recentProgress if FEED_METRICS in p.observedMetrics]
+    assert [(m.bad_records, m.lines) for m in seen] == [(1, 3)]
     batch = to_bronze(FD.read_hits(spark, str(folder), schema).hits)
     text = lambda df: sorted(str(r) for r in df.select(F.to_json(F.struct("*")).alias("j")).collect())
     assert text(spark.table("streamed")) == text(batch) and batch.count() == 2

@@ -7,7 +7,7 @@ from hitloom.config import Settings
 from hitloom.operators import gold as G
 from hitloom.plans import quality as Q
 from hitloom.plans import reports as P
-from hitloom.plans.layers import load_inputs, plan_layers, run_layers
+from hitloom.plans.layers import LayerWarning, check_layers, load_inputs, plan_layers, run_layers
 from workload import inputs
 
 from conftest import SMALL
@@ -42,6 +42,33 @@ def test_second_run_keeps_tables(spark, small_layers):
     assert again.gold.count() == small_layers.gold.count()
 
 
+def test_kept_tables_start_no_job(spark, small_layers):
+    tracker, found = spark.sparkContext.statusTracker(), inputs.inputs(spark, SMALL)
+    spark.sparkContext.setJobGroup("kept", "kept")
+    run_layers(found, prefix="small_")
+    assert list(tracker.getJobIdsForGroup("kept")) == []
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_rebuild_on_more_hits_equals_a_fresh_run(spark, small_layers):
+    """Labels and names of an earlier, smaller build are not taken over."""
+    found = inputs.inputs(spark, SMALL)
+    part = inputs.inputs(spark, SMALL)
+    part.raw = found.raw.filter("geo_country = '1'")
+    run_layers(part, prefix="grown_")
+    for name in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP TABLE grown_{name}")
+    gold = run_layers(found, prefix="grown_").gold
+    assert gold.exceptAll(small_layers.gold).isEmpty() and small_layers.gold.exceptAll(gold).isEmpty()
+
+
+def test_checks_of_a_run(spark, small_layers):
+    notes = check_layers(small_layers, Settings(expected_rows=5))
+    assert any(n.startswith("raw: ") for n in notes)
+    with pytest.warns(LayerWarning, match="raw: verdict is 'warn'"):
+        run_layers(inputs.inputs(spark, SMALL), Settings(expected_rows=5), prefix="small_", check=True)
+
+
 def test_no_window_over_all_hits(spark, small_layers):
     lazy = plan_layers(inputs.inputs(spark, SMALL))
     plan = plan_text(lazy.gold)
@@ -90,6 +117,16 @@ def test_dedupe_keeps_one_row_per_insert_id(small_layers):
     assert G.dedupe_events(twice).count() == small_layers.gold.select("insert_id").distinct().count()
 
 
+def test_dedupe_keeps_events_without_id(spark, small_layers):
+    rows = small_layers.gold.limit(5).withColumn("insert_id", F.lit(None).cast("string"))
+    assert G.dedupe_events(rows).count() == 5
+
+
+def test_distinct_counts_do_not_expand_rows(small_layers):
+    for df in (Q.gold_metrics(small_layers.gold), Q.eventification_check(small_layers.silver, small_layers.gold)):
+        assert "Expand" not in plan_text(df)
+
+
 def test_from_files_to_gold(spark, tmp_path):
     """A feed folder with lookups, read and run the way a user would."""
     names = inputs.inputs(spark, SMALL).raw.columns
@@ -122,3 +159,4 @@ def test_from_files_to_gold(spark, tmp_path):
             spark, str(tmp_path / "feed" / "*.tsv"), str(lookups), Settings(max_bad_records=0), "files_raw_2"
         )
     assert not spark.catalog.tableExists("files_raw_2")
+    assert not spark.catalog.tableExists("files_raw_2_unchecked")

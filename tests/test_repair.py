@@ -157,3 +157,19 @@ def test_given_width_and_carriage_returns(spark, tmp_path):
     (tmp_path / "f.tsv").write_bytes(b"a\tb\r\n\r\nc\td\r\ne")
     got = {r.record for r in R.repair_files(spark, str(tmp_path / "f.tsv"), width=2).collect()}
     assert got == {"a\tb\\nc\td", "e"}
+
+
+def test_file_without_width_is_an_error_or_rejected(spark, tmp_path):
+    rnd = random.Random(3)
+    (tmp_path / "good.tsv").write_text("\n".join("\t".join(record(rnd)) for _ in range(5)) + "\n")
+    (tmp_path / "none.tsv").write_text("a\tb\n\nc\n")
+    (tmp_path / "one.tsv").write_text("\t".join(record(rnd)) + "\nrest\n")
+    with pytest.raises(ValueError, match="none.tsv.*one.tsv"):
+        R.repair_files(spark, str(tmp_path), anchor_field=ANCHOR)
+    records = R.repair_files(spark, str(tmp_path), anchor_field=ANCHOR, missing_width="reject")
+    found = {(r.path.rsplit("/", 1)[-1] if r.path else None): r for r in R.repair_stats(records).collect()}
+    assert [(found[n].records, found[n].ok, found[n].bad) for n in ("good.tsv", "none.tsv", "one.tsv", None)] == [(5, 5, 0), (2, 0, 2), (2, 0, 2), (9, 5, 4)]
+    write_repaired(records, str(tmp_path / "out"))
+    assert spark.read.text(str(tmp_path / "out" / "outcome=reject")).count() == 4
+    with pytest.raises(ValueError):
+        R.repair_files(spark, str(tmp_path), missing_width="skip")

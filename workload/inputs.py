@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hitloom.plans.layers import Inputs
 
@@ -109,6 +110,8 @@ LOOKUPS = {
 # or without anchor. With ``{NL}`` as a line break, some fields span lines.
 LINE_WIDTH = 11
 LINE_ANCHOR = 4
+# A record limit in characters that some records of the feed exceed.
+SMALL_RECORD = 60
 _ANCHOR = "CAST(1700000000 + event_id AS STRING) || {TAB} || CAST(1000000000000 + event_id AS STRING) || {TAB} || CAST(2000000000000 + event_id AS STRING)"
 RECORDS = f"""
 SELECT event_id,
@@ -162,12 +165,20 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     )
 
 
-def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_lines(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
     """Physical lines of eight feed files, as the line scan would give them."""
     records = table(spark, sf_dir, RECORDS, **SPARK_BREAK)
     return records.selectExpr("event_id", "posexplode(split(value, '\n'))").selectExpr(
+        *(["event_id"] if keep_id else []),
         "concat('feed-', event_id % 8, '.tsv') AS path",
         "event_id div 4000 AS block",
         "event_id * 100 + pos AS row",
         "col AS value",
     )
+
+
+def unsized_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed with all anchors of one file spoilt, and all but one of another."""
+    spoilt = F.expr("path = 'feed-6.tsv' OR (path = 'feed-7.tsv' AND event_id <> 7)")
+    lines = feed_lines(spark, sf_dir, keep_id=True)
+    return lines.withColumn("value", F.when(spoilt, F.regexp_replace("value", "[0-9]", "x")).otherwise(F.col("value"))).drop("event_id")

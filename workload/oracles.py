@@ -373,19 +373,23 @@ O["mapping_effectiveness"] = with_ctes(
 )
 
 
-def _aliases(named: str, source: str, have: int, *needs: str) -> str:
+def _aliases(named: str, source: str, have: int, *needs: str, taken: str = "") -> str:
     counts = " ".join(f"WHEN {n} THEN (SELECT count({source}{n}) FROM bronze)" for n in range(1, have + 1))
     return with_ctes(
         f"""SELECT alias || CASE WHEN nth = 1 THEN '' ELSE '_' || CAST(nth AS VARCHAR) END AS alias,
  CASE n {counts} ELSE CAST(0 AS BIGINT) END AS filled
- FROM (SELECT n, alias, row_number() OVER (PARTITION BY alias ORDER BY n) AS nth FROM ({named}))""",
+ FROM (SELECT n, alias, row_number() OVER (PARTITION BY alias ORDER BY n) + CAST(alias = '{taken}' AS BIGINT) AS nth FROM ({named}))""",
         "bronze", *needs,
     )
 
 
-O["evar_aliases"] = _aliases(
+_EVAR_NAMES = (
     "SELECT code - 99 AS n, 'evar_' || regexp_replace(lower(name_override), '[^a-z0-9]', '_', 'g') AS alias FROM evars "
-    "WHERE name_override <> '' AND code BETWEEN 100 AND 199", "post_evar", 9, "evars",
+    "WHERE name_override <> '' AND code BETWEEN 100 AND 199"
+)
+O["evar_aliases"] = _aliases(_EVAR_NAMES, "post_evar", 9, "evars")
+O["evar_aliases_taken"] = (
+    _aliases(_EVAR_NAMES, "post_evar", 9, "evars", taken="evar_page_name") + " UNION ALL SELECT 'evar_page_name', count(*) FROM bronze"
 )
 O["prop_aliases"] = _aliases(
     "SELECT CAST(PropertyNumber AS BIGINT) AS n, 'prop_' || regexp_replace(lower(Name), '[^a-z0-9]', '_', 'g') AS alias FROM props_raw WHERE Name <> ''",
@@ -448,6 +452,12 @@ O["deduped_events"] = with_ctes(
     f"SELECT insert_id, {US}, event_name, original_hit_no, event_sequence FROM gold "
     "QUALIFY row_number() OVER (PARTITION BY insert_id ORDER BY original_hit_no, event_sequence) = 1", "gold"
 )
+# Without the last two sources some hits have no visitor, and their events no id.
+_STRICT = VISITOR.replace(f" {_CUST} ELSE {_FP} END", " END")
+O["deduped_no_fallback"] = (
+    O["deduped_events"].replace(VISITOR, _STRICT).replace("QUALIFY row_number()", "QUALIFY insert_id IS NULL OR row_number()")
+)
+O["hit_numbers_cut"], O["page_views_cut"] = O["hit_numbers"], O["page_views"]
 O["export_rows"] = with_ctes(
     f"SELECT {US}, distinct_id, is_page_view, page_url, geo_country, country_name, browser_name, operating_system_name, user_agent FROM gold", "gold"
 )
@@ -679,6 +689,10 @@ cte(
 O["read_hits"] = with_ctes(
     f"SELECT {', '.join(f'f[{n + 1}] AS field_{n}' for n in range(W + 1))} FROM one WHERE len(f) <= {W + 1}", "one"
 )
+O["feed_line_counts"] = with_ctes(
+    f"SELECT count(*) FILTER (WHERE len(f) <= {W + 1}) AS kept, count(*) FILTER (WHERE len(f) < {W + 1}) AS padded, "
+    f"count(*) FILTER (WHERE len(f) > {W + 1}) AS rejected FROM one", "one"
+)
 O["sanitize_columns"] = "SELECT event_id, user_id AS f_2nd_id, event_type AS \"user\", value AS user_2, props AS value, epoch_us(ts) // 1000000 AS col, user_id AS col_2 FROM events"
 O["find_anchors"] = with_ctes("SELECT * FROM anchors", "anchors")
 O["tab_histogram"] = with_ctes("SELECT path, CAST(delta AS BIGINT) AS delta, records FROM histogram", "histogram")
@@ -712,24 +726,36 @@ O["repaired_records"] = with_ctes(
 )
 
 # The sequential fold over lines, as a recursion that advances all files at once.
-_FOLD = f"""
-WITH RECURSIVE lines AS MATERIALIZED ({CTES['lines'][0]}), anchors AS MATERIALIZED ({CTES['anchors'][0]}), histogram AS MATERIALIZED ({CTES['histogram'][0]}),
+
+
+def _fold(lines: str = CTES["lines"][0], max_chars: int = 64 * 1024 * 1024) -> str:
+    return f"""
+WITH RECURSIVE lines AS MATERIALIZED ({lines}), anchors AS MATERIALIZED ({CTES['anchors'][0]}), histogram AS MATERIALIZED ({CTES['histogram'][0]}),
 widths AS MATERIALIZED (SELECT path, CAST(delta AS BIGINT) AS width FROM histogram QUALIFY row_number() OVER (PARTITION BY path ORDER BY records DESC, delta DESC) = 1),
 n AS MATERIALIZED (SELECT l.*, width, row_number() OVER (PARTITION BY l.path ORDER BY row) AS i FROM lines l JOIN widths USING (path) WHERE value <> ''),
 fold AS (
  SELECT path, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS first, '' AS cur, CAST(0 AS BIGINT) AS curtabs, true AS done, CAST(0 AS BIGINT) AS width FROM widths
  UNION ALL
  SELECT n.path, n.i, CASE WHEN done THEN n.row ELSE first END, CASE WHEN done THEN n.value ELSE cur || '\\n' || n.value END,
-  CASE WHEN done THEN n.tabs ELSE curtabs + n.tabs END, (CASE WHEN done THEN n.tabs ELSE curtabs + n.tabs END) >= n.width, n.width
+  CASE WHEN done THEN n.tabs ELSE curtabs + n.tabs END, (CASE WHEN done THEN n.tabs ELSE curtabs + n.tabs END) >= n.width
+   OR length(CASE WHEN done THEN n.value ELSE cur || '\\n' || n.value END) > {max_chars}, n.width
  FROM fold JOIN n ON n.path = fold.path AND n.i = fold.i + 1),
-records AS MATERIALIZED (SELECT path, first AS record_row, cur AS record, curtabs AS tabs, curtabs > 8 * width AS oversize, width FROM fold
+records AS MATERIALIZED (SELECT path, first AS record_row, cur AS record, curtabs AS tabs, curtabs > 8 * width OR length(cur) > {max_chars} AS oversize, width FROM fold
  WHERE i > 0 AND (done OR i = (SELECT max(i) FROM n WHERE n.path = fold.path)))
 """
+
+
+_FOLD = _fold()
 O["assemble_records"] = _FOLD + "SELECT path, record_row, record, tabs, oversize FROM records"
-O["repair_stats"] = (
-    _FOLD
-    + f""", verdicts AS (SELECT path, CASE WHEN oversize THEN 'oversize' ELSE {_verdict('tabs', 'width', 'shift')} END AS verdict FROM (
- SELECT *, [o for o in range(-{min(5, A)}, 6) if {_is_anchor(f'o + {A} + 1')}][1] AS shift FROM (SELECT *, string_split(record, chr(9)) AS f FROM records)))
-SELECT path, count(*) FILTER (WHERE verdict <> 'oversize') AS records, count(*) FILTER (WHERE verdict NOT IN ('fragment', 'reject', 'oversize')) AS ok,
- count(*) FILTER (WHERE verdict IN ('fragment', 'reject', 'oversize')) AS bad, count(*) FILTER (WHERE verdict = 'realigned') AS realigned FROM verdicts GROUP BY ROLLUP (path)"""
-)
+O["assemble_records_limited"] = _fold(max_chars=I.SMALL_RECORD) + "SELECT path, record_row, record, tabs, oversize FROM records"
+_JUDGED = f"""SELECT path, CASE WHEN oversize THEN 'oversize' ELSE {_verdict('tabs', 'width', 'shift')} END AS verdict FROM (
+ SELECT *, [o for o in range(-{min(5, A)}, 6) if {_is_anchor(f'o + {A} + 1')}][1] AS shift FROM (SELECT *, string_split(record, chr(9)) AS f FROM records))"""
+_STATS = """SELECT path, count(*) FILTER (WHERE verdict <> 'oversize') AS records,
+ count(*) FILTER (WHERE verdict NOT IN ('fragment', 'reject', 'oversize', 'no_width')) AS ok,
+ count(*) FILTER (WHERE verdict IN ('fragment', 'reject', 'oversize', 'no_width')) AS bad,
+ count(*) FILTER (WHERE verdict = 'realigned') AS realigned FROM verdicts GROUP BY ROLLUP (path)"""
+O["repair_stats"] = f"{_FOLD}, verdicts AS ({_JUDGED}) {_STATS}"
+_SPOILT = f"""SELECT path, row, CASE WHEN path = 'feed-6.tsv' OR (path = 'feed-7.tsv' AND row // 100 <> 7)
+ THEN regexp_replace(value, '[0-9]', 'x', 'g') ELSE value END AS value, tabs FROM ({CTES['lines'][0]})"""
+O["repair_unsized"] = f"""{_fold(_SPOILT)}, verdicts AS ({_JUDGED}
+ UNION ALL SELECT path, 'no_width' FROM lines WHERE value <> '' AND path NOT IN (SELECT path FROM widths WHERE width > 0)) {_STATS}"""

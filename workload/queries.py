@@ -240,6 +240,13 @@ def evar_aliases(i):
     return _alias_counts(S.alias_evars(_bronze(i), M.sdr_evars(i.evars_raw)), "evar_")
 
 
+@query
+def evar_aliases_taken(i):
+    """An alias that meets a column of the feed gets a suffix."""
+    taken = _bronze(i).withColumn("evar_page_name", F.lit("taken"))
+    return _alias_counts(S.alias_evars(taken, M.sdr_evars(i.evars_raw)), "evar_")
+
+
 @query
 def prop_aliases(i):
     return _alias_counts(S.alias_props(_bronze(i), i.props_raw), "prop_")
@@ -317,6 +324,22 @@ def hit_ids(i):
     return G.hit_ids(timed.select(*KEY, "distinct_id"))
 
 
+#: Limits that cut keys of a few rows already.
+CUT = {"share": 0.02, "min_rows": 10}
+
+
+@query
+def hit_numbers_cut(i):
+    timed = _bronze(i).filter("ts_utc IS NOT NULL")
+    return G.hit_numbers(timed.select(*KEY, "distinct_id"), **CUT)
+
+
+@query
+def page_views_cut(i):
+    viewed = S.detect_page_view(_bronze(i), **CUT)
+    return viewed.filter("ts_utc IS NOT NULL").select(*KEY, "distinct_id", "prev_url", "is_page_view")
+
+
 @query
 def lookup_labels(i):
     coded = _bronze(i).select("hitid_high", "hitid_low", "browser", "os", "connection_type", "geo_country", "ref_type")
@@ -366,6 +389,13 @@ def deduped_events(i):
     return G.dedupe_events(_gold(i)).select("insert_id", "ts_utc", "event_name", "original_hit_no", "event_sequence")
 
 
+@query
+def deduped_no_fallback(i):
+    """Hits without any identity keep their events: a NULL id is no common id."""
+    strict = Settings(visitor_precedence=("post_visid", "mcvisid"))
+    return G.dedupe_events(_gold(i, settings=strict)).select("insert_id", "ts_utc", "event_name", "original_hit_no", "event_sequence")
+
+
 @query
 def export_rows(i):
     return LY.export_rows(_gold(i))
@@ -543,6 +573,13 @@ def read_hits(spark, sf_dir):
     return FD.split_hits(lines, FD.hit_schema(f"Field {n}" for n in range(I.LINE_WIDTH + 1)))
 
 
+@tabled
+def feed_line_counts(spark, sf_dir):
+    """Lines kept, padded and rejected in the feed that `read_hits` reads."""
+    lines = I.table(spark, sf_dir, I.RECORDS, **I.ONE_LINE)
+    return FD.feed_line_counts(lines, FD.hit_schema(f"Field {n}" for n in range(I.LINE_WIDTH + 1)))
+
+
 @tabled
 def sanitize_columns(spark, sf_dir):
     names = ("Event ID", "2nd id", "'user'", "User", "value %", "__", "!")
@@ -600,3 +637,22 @@ def repaired_records(spark, sf_dir):
 def repair_stats(spark, sf_dir):
     records = R.classify_records(_assembled(spark, sf_dir), anchor_field=I.LINE_ANCHOR)
     return R.repair_stats(records)
+
+
+@tabled
+def repair_unsized(spark, sf_dir):
+    """Statistics of a feed in which one file has no anchor and another only one."""
+    indexed = R.index_lines(I.unsized_lines(spark, sf_dir))
+    records = R.assemble_records(indexed, R.canonical_tabs(R.tab_histogram(indexed)))
+    return R.repair_stats(R.classify_records(records, anchor_field=I.LINE_ANCHOR))
+
+
+@tabled
+def assemble_records_limited(spark, sf_dir):
+    """Records cut at a small size limit, from lines that end in carriage returns."""
+    lines = I.feed_lines(spark, sf_dir)
+    ended = lines.withColumn("value", F.concat("value", F.lit("\r")))
+    indexed = R.index_lines(ended)
+    widths = R.canonical_tabs(R.tab_histogram(indexed))
+    records = R.assemble_records(indexed, widths, max_chars=I.SMALL_RECORD)
+    return records.select("path", "record_row", "record", "tabs", "oversize")
