@@ -50,6 +50,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: So many 16-byte keys may be broadcast; above, the other side is shuffled to them.
+BROADCAST_KEYS = 1_000_000
+
+
+def bounded(keys: DataFrame) -> DataFrame:
+    """Stored distinct keys, marked for broadcasting if a count shows that they are few."""
+    keys = store(keys.distinct(), "keys")
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def ascii_lower(word: Column) -> Column:
     """Lower-case A-Z and no other letter."""
     # lower() takes a short way on ASCII words, which most are.

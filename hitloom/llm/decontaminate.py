@@ -98,7 +98,7 @@ def phrase_matches(docs: DataFrame, classes: DataFrame, index: DataFrame, search
     sized = classes.withColumn("need", F.least(F.size("words"), F.lit(RAREST)))
     candidates = lists.join(sized, "item").where(F.size("places") >= F.col("need"))
     candidates = common.store(candidates.select("text_key", "item", "shift", F.col("words").alias("item_words")), "candidates")
-    keys = candidates.select("text_key").distinct()
+    keys = common.bounded(candidates.select("text_key"))
     texts = docs.select(common.text_key(F.col(text)).alias("text_key"), F.col(text).alias("text"))
     texts = texts.join(keys, "text_key", "left_semi").dropDuplicates(["text_key"])
     texts = texts.select("text_key", lowered(F.col("text")).alias("doc_words"))
@@ -175,6 +175,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", ite
     counts = common.store(term_counts(docs, vocabulary, text), "term-counts")
     searched = common.store(search_terms(classes, counts, window), "search-terms")
     index = posting_index(docs, common.store(searched.select("term").distinct(), "terms"), text)
-    hit = common.store(phrase_matches(docs, classes, index, searched, text, window).select("text_key").distinct(), "hit-texts")
+    hit = common.bounded(phrase_matches(docs, classes, index, searched, text, window).select("text_key"))
     keyed = docs.withColumn("__text_key", common.text_key(F.col(text)))
     return keyed.join(hit, keyed["__text_key"] == hit["text_key"], "left_anti").drop("__text_key")
