@@ -17,6 +17,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from hitloom import Settings, build_session  # noqa: E402
 from hitloom.operators import bronze as B  # noqa: E402
 from hitloom.operators import event_map as M  # noqa: E402
@@ -27,6 +29,7 @@ from hitloom.plans import quality as Q  # noqa: E402
 from hitloom.plans import reports as P  # noqa: E402
 from hitloom.plans.layers import run_layers  # noqa: E402
 from hitloom.sources.layers import GOLD_CLUSTER, SILVER_CLUSTER, write_layer  # noqa: E402
+from hitloom.sources.feed import hit_schema, read_hits  # noqa: E402
 from workload import inputs as I  # noqa: E402
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
@@ -45,6 +48,21 @@ def timed(work, runs: int = RUNS) -> float:
     return round(statistics.median(seconds), 3)
 
 
+#: Columns of a full feed.
+WIDE = 1189
+
+
+def wide_feed(raw, work: str, settings: Settings) -> float:
+    """Feed files of full width, read, split, cleaned and written as bronze."""
+    spark = raw.sparkSession
+    names = [*raw.columns, *(f"col_{n}" for n in range(WIDE - len(raw.columns)))]
+    fields = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in raw.columns]
+    line = F.concat(F.concat_ws("\t", *fields), F.repeat(F.lit("\tx"), WIDE - len(raw.columns)))
+    raw.select(line.alias("value")).write.mode("overwrite").text(f"{work}/wide")
+    schema = hit_schema(names)
+    return timed(lambda: write_layer(B.to_bronze(read_hits(spark, f"{work}/wide", schema).hits, settings), "bench_wide"), 1)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -99,6 +117,7 @@ def main() -> None:
     queries["repair_records"] = timed(
         lambda: drain(R.classify_records(R.assemble_records(indexed, widths), anchor_field=I.LINE_ANCHOR))
     )
+    queries["wide_feed_to_bronze"] = wide_feed(inputs.raw, work, settings)
     hits = inputs.raw.count()
     print(
         json.dumps(

@@ -96,17 +96,24 @@ def _basic_events():
     return F.coalesce(events, F.array().cast("array<struct<event_code:string,event_value:double>>"))
 
 
+def clock_bucket(clock: Column) -> Column:
+    """Leading characters of a raw clock string that never decrease along its order.
+
+    Six digits (some hours), or as far as the digits go and one character more: the
+    text is not checked yet, and this takes a bounded number of values for any text.
+    """
+    return F.regexp_extract(F.coalesce(clock, F.lit("")), "^(?:[0-9]{6}|[0-9]{0,5}[^0-9]?)", 0)
+
+
 def to_bronze_basic(raw: DataFrame, **limits: float) -> DataFrame:
     """The older variant: clocks told apart by length, text event codes.
 
     Hits without any identity become ``fallback-n``, n being the position of the
     hit among all hits by its raw time string.
     """
-    # The first six characters (some hours) never decrease along the string and
-    # take few values; large ones are cut.
     numbered = number_rows(
         keep_timed(raw),
-        F.coalesce(F.substring("post_cust_hit_time_gmt", 1, 6), F.lit("")),
+        clock_bucket(F.col("post_cust_hit_time_gmt")),
         ["post_cust_hit_time_gmt", "hitid_high", "hitid_low"],
         "_n",
         **limits,

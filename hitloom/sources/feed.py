@@ -106,23 +106,29 @@ def external_hits(
     return hits
 
 
-def _columns(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(F.split("value", "\t", -1).alias("f"))
+def lookup_rows(lines: DataFrame) -> DataFrame:
+    """(id, name) of lookup lines (column ``value``); missing names are NULL, more columns ignored."""
+    f = lines.select(F.split("value", "\t", -1).alias("f"))
+    return f.select(F.get("f", 0).try_cast("int").alias("id"), F.get("f", 1).alias("name"))
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """(id, name) rows without header; missing names are NULL, more columns ignored."""
-    f = _columns(spark, path)
-    return f.select(F.get("f", 0).try_cast("int").alias("id"), F.get("f", 1).alias("name"))
+    """A lookup file without header."""
+    return lookup_rows(spark.read.text(path))
 
 
 # Kind of naming table -> its key column.
 SDR_KEYS = {"events": "Event", "evars": "EvarNumber", "props": "PropertyNumber"}
 
 
+def sdr_rows(table: DataFrame, kind: str) -> DataFrame:
+    """The first two columns of a naming table; a missing second one gives NULL names."""
+    names = [F.col(f"`{name}`") for name in table.columns[:2]] + [F.lit(None).cast("string")]
+    return table.select(names[0].alias(SDR_KEYS[kind]), names[1].alias("Name"))
+
+
 def read_sdr(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """The first two columns of a naming table, header line skipped."""
+    """A naming file, header line skipped."""
     # The CSV reader is used for its header handling only: tabs, no quotes.
-    two = spark.read.csv(path, sep="\t", header=True, quote="", escape="", inferSchema=False, mode="PERMISSIVE")
-    key, name = two.columns[0], two.columns[1]
-    return two.select(F.col(f"`{key}`").alias(SDR_KEYS[kind]), F.col(f"`{name}`").alias("Name"))
+    table = spark.read.csv(path, sep="\t", header=True, quote="", escape="", inferSchema=False, mode="PERMISSIVE")
+    return sdr_rows(table, kind)

@@ -106,6 +106,13 @@ LOOKUPS = {
     "referrer_type": "SELECT r_regionkey AS id, r_name AS name FROM region",
 }
 
+# Lines of a lookup file: no name, a name, a name and more; every ninth id is text.
+LOOKUP_LINES = """
+SELECT CASE WHEN s_suppkey % 9 = 0 THEN 'x' ELSE '' END || CAST(s_suppkey AS STRING) ||
+ CASE s_suppkey % 3 WHEN 0 THEN '' WHEN 1 THEN {TAB} || s_name ELSE {TAB} || s_name || {TAB} || 'more' END AS value
+FROM supplier
+"""
+
 # A record of 12 fields with the hit time in field 4: whole, short, long, shifted
 # or without anchor. With ``{NL}`` as a line break, some fields span lines.
 LINE_WIDTH = 11

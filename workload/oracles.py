@@ -693,6 +693,13 @@ O["feed_line_counts"] = with_ctes(
     f"SELECT count(*) FILTER (WHERE len(f) <= {W + 1}) AS kept, count(*) FILTER (WHERE len(f) < {W + 1}) AS padded, "
     f"count(*) FILTER (WHERE len(f) > {W + 1}) AS rejected FROM one", "one"
 )
+O["lookup_rows"] = (
+    "SELECT TRY_CAST(f[1] AS BIGINT) AS id, f[2] AS name FROM (SELECT string_split(value, chr(9)) AS f "
+    f"FROM ({I.duck_sql(I.LOOKUP_LINES)}))"
+)
+O["sdr_rows"] = (
+    'SELECT CAST(p_partkey AS VARCHAR) AS "EvarNumber", p_name AS "Name" FROM part UNION ALL SELECT n_name, NULL FROM nation'
+)
 O["sanitize_columns"] = "SELECT event_id, user_id AS f_2nd_id, event_type AS \"user\", value AS user_2, props AS value, epoch_us(ts) // 1000000 AS col, user_id AS col_2 FROM events"
 O["find_anchors"] = with_ctes("SELECT * FROM anchors", "anchors")
 O["tab_histogram"] = with_ctes("SELECT path, CAST(delta AS BIGINT) AS delta, records FROM histogram", "histogram")

@@ -580,6 +580,19 @@ def feed_line_counts(spark, sf_dir):
     return FD.feed_line_counts(lines, FD.hit_schema(f"Field {n}" for n in range(I.LINE_WIDTH + 1)))
 
 
+@tabled
+def lookup_rows(spark, sf_dir):
+    """Lookup lines with one, two and three columns and some ids that are no numbers."""
+    return FD.lookup_rows(I.table(spark, sf_dir, I.LOOKUP_LINES))
+
+
+@tabled
+def sdr_rows(spark, sf_dir):
+    named = FD.sdr_rows(I.table(spark, sf_dir, "SELECT CAST(p_partkey AS STRING) AS k, p_name, p_type FROM part"), "evars")
+    bare = FD.sdr_rows(I.table(spark, sf_dir, "SELECT n_name FROM nation"), "evars")
+    return named.union(bare)
+
+
 @tabled
 def sanitize_columns(spark, sf_dir):
     names = ("Event ID", "2nd id", "'user'", "User", "value %", "__", "!")
