@@ -36,6 +36,8 @@ PASSES = 2
 WORD_BITS, PAIR_BITS = 18, 20
 #: Rate, its smoothing, and the two regularisers.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
+#: Coordinates of a smaller sum are not passed on between rounds.
+LEAST = 1.0
 SIZE = (1 << WORD_BITS) + (1 << PAIR_BITS) + 1
 _BIAS = SIZE - 1
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -94,7 +96,8 @@ def _train_shard(state, passes: int):
         table = table.sort_by([("place", "ascending"), ("doc_id", "ascending")])
         texts = [np.unique(coordinates(t.as_py())) for t in table["text"].cast(pa.large_binary())]
         _learn(texts, table["toxic"].to_numpy(), z, n, passes)
-        seen = np.flatnonzero(n)
+        # What has had little effect so far starts anew; most coordinates have.
+        seen = np.flatnonzero(np.abs(z) >= LEAST)
         return pa.table([pa.array(seen), pa.array(z[seen]), pa.array(n[seen])], names=["at", "z", "n"])
 
     return train
@@ -125,7 +128,7 @@ def train(sample: DataFrame, rounds: int = ROUNDS, passes: int = PASSES) -> Mode
         states = sharded.groupBy("shard").applyInArrow(_train_shard(state, passes), "at long, z double, n double")
         # A coordinate that a shard hasn't seen is zero there; the mean is over all shards.
         merged = states.groupBy("at").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n"))
-        table = merged.orderBy("at").toArrow()
+        table = merged.toArrow().sort_by("at")
         places, z, n = (table[name].to_numpy() for name in ("at", "z", "n"))
         state = context.broadcast((places, z, n))
     weights = _weights(z, n)
@@ -133,7 +136,7 @@ def train(sample: DataFrame, rounds: int = ROUNDS, passes: int = PASSES) -> Mode
     return Model(places[used], weights[used])
 
 
-def _score_batches(model):
+def _score_batches(model, name: str):
     def score(batches):
         table = np.zeros(SIZE)
         places, weights = model.value
@@ -145,20 +148,20 @@ def _score_batches(model):
             for k, text in enumerate(texts):
                 at = coordinates(text.as_py())
                 out[k] = _sigmoid(table[np.unique(at[used[at]])].sum())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out)], names=[*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out)], names=[*batch.schema.names[:-1], name])
 
     return score
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """The ``keep`` columns and ``score``, the probability of being toxic, of every row.
+def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", name: str = "score") -> DataFrame:
+    """The ``keep`` columns and ``name``, the probability of being toxic, of every row.
 
     Null and empty texts get the score of the bias alone. Long texts are scored whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.places, model.weights))
     narrow = docs.select(*keep, F.col(text).alias("__text"))
-    schema = narrow.drop("__text").withColumn("score", F.lit(0.0)).schema
-    return narrow.mapInArrow(_score_batches(shared), schema)
+    schema = narrow.drop("__text").withColumn(name, F.lit(0.0)).schema
+    return narrow.mapInArrow(_score_batches(shared, name), schema)
 
 
 def _fold(folds: int) -> Column:
@@ -185,4 +188,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
     """The rows, with all columns, that the model learned from all labels scores below the threshold."""
     model = train(labelled_sample(docs, labels))
     columns = docs.columns
-    return score(docs, model, columns).where(F.col("score") < threshold).select(*columns)
+    return score(docs, model, columns, name="__score").where(F.col("__score") < threshold).select(*columns)
