@@ -14,7 +14,6 @@ without a shuffle.
 
 from __future__ import annotations
 
-import re
 import sys
 from collections.abc import Iterator
 
@@ -34,7 +33,6 @@ PENALTY = 3.0
 STEPS = 20
 UNKNOWN = "und"
 _CHUNK = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
 _KEEP = np.zeros(256, dtype=np.uint8)
 _KEEP[97:123] = np.arange(97, 123)
 _KEEP[128:] = np.arange(128, 256)
@@ -197,7 +195,7 @@ def _predict_batches(shared):
 
 def _predicted(rows: pa.RecordBatch, texts: list[str | None], langs: list[str], likelihood: np.ndarray) -> pa.RecordBatch:
     shares = mixtures(texts, likelihood)
-    lettered = np.array([bool(t) and _LETTER.search(t) is not None for t in texts])
+    lettered = [any(map(str.isalpha, t or "")) for t in texts]
     names, scores, parts = [], [], []
     for share, known in zip(shares, lettered):
         if not known or not share.any():
