@@ -165,4 +165,6 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_di
         .agg(F.min("best").alias("best"))
         .select(F.col("best.__row").alias("__row"))
     )
-    return rows.join(chosen, "__row", "left_semi").drop("__row")
+    # Fewer rows go than stay.
+    gone = common.bounded(prints.join(chosen, "__row", "left_anti").select("__row"))
+    return rows.join(gone, "__row", "left_anti").drop("__row")
