@@ -44,6 +44,7 @@ TARGET_RECALL = 0.97
 GRAPH_DEGREE = 16
 _CALIBRATION = 256
 _BATCH = 256
+_SCORED = 1 << 14
 
 
 def usable(table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -109,7 +110,7 @@ def search_graph(x: np.ndarray, centres: np.ndarray, graph: np.ndarray, ratio: f
     entries = np.unique(np.linspace(0, len(centres) - 1, min(len(centres), 32)).astype(int))
     found[:, entries] = np.sqrt(_squared(x, centres[entries]))
     while True:
-        limit = found.min(1) * ratio + 1e-12
+        limit = found.min(1) * ratio + 1e-12 if np.isfinite(ratio) else np.full(len(x), np.inf)
         waiting = np.where(done | (found > limit[:, None]), np.inf, found)
         width = min(8, waiting.shape[1])
         best = np.argpartition(waiting, width - 1, axis=1)[:, :width]
@@ -143,7 +144,7 @@ def _assigned(x: np.ndarray, centres: np.ndarray, graph: np.ndarray) -> list[np.
 
 def _calibrate(sample: np.ndarray, plain: np.ndarray, centres: np.ndarray, graph: np.ndarray, k: int) -> float:
     """The ratio at which lists of the sample hold the target share of the sample's neighbours."""
-    lists = _assigned(sample, centres, graph)
+    lists = [one for start in range(0, len(sample), _BATCH) for one in _assigned(sample[start : start + _BATCH], centres, graph)]
     asked = np.linspace(0, len(plain) - 1, min(_CALIBRATION, len(plain))).astype(int)
     queries = np.hstack([plain[asked], np.zeros((len(asked), 1))])
     scores = plain[asked] @ plain.T
@@ -220,7 +221,7 @@ def _lists_within(distances: np.ndarray, ratio: float, sizes: np.ndarray, least:
     enough = np.searchsorted(held, least) + 1
     if held[-1] < least and not np.isfinite(distances).all():
         return None
-    close = int((distances <= distances[order[0]] * ratio + 1e-12).sum())
+    close = int((distances <= distances[order[0]] * ratio + 1e-12).sum()) if np.isfinite(ratio) else len(order)
     return order[: max(close, min(enough, len(order)))]
 
 
@@ -239,7 +240,9 @@ def _best(k: int):
     def best(postings: pa.Table, queries: pa.Table) -> pa.Table:
         if not postings.num_rows or not queries.num_rows:
             return schema.empty_table()
-        slots, rows, ids = (postings[n].to_numpy() for n in ("slot", "row", "vec_id"))
+        slots, rows = postings["slot"].to_numpy(), postings["row"].to_numpy()
+        # Rows without id come last among ties.
+        ids = postings["vec_id"].fill_null(np.iinfo(np.int64).max).to_numpy()
         vectors, asked = _matrix(postings["vector"]), _matrix(queries["query"])
         query_rows, query_ids = queries["query_row"].to_numpy(), queries["query_id"].to_numpy()
         wanted = queries["wanted"].combine_chunks()
@@ -261,18 +264,19 @@ def _best(k: int):
                 margin = 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
                 a, b = np.nonzero((scores >= (least - margin)[:, None]) & np.isfinite(scores))
                 hits.append((who[a], here[b]))
-        if not hits:
+        if not any(len(h[0]) for h in hits):
             return schema.empty_table()
         q, p = np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits])
         q, p = np.divmod(_distinct(q, p, rows), len(rows))
         # The same sum for the same two vectors wherever they lie.
-        scores = (asked[q] * vectors[p]).sum(axis=1)
+        cuts = range(0, len(q), _SCORED)
+        scores = np.concatenate([(asked[q[c : c + _SCORED]] * vectors[p[c : c + _SCORED]]).sum(axis=1) for c in cuts])
         order = np.lexsort((rows[p], ids[p], -scores, q))
         q, p, scores = q[order], p[order], scores[order]
         first = np.searchsorted(q, q)
         keep = np.arange(len(q)) - first < k
         q, p, scores = q[keep], p[keep], scores[keep]
-        return pa.table([query_rows[q], query_ids[q], rows[p], ids[p], scores], schema=schema)
+        return pa.table([query_rows[q], query_ids[q], rows[p], postings["vec_id"].take(pa.array(p)), scores], schema=schema)
 
     return best
 
