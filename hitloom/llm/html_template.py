@@ -11,8 +11,9 @@ Classes that cover most pages of a host and have several tokens are its template
 each page a class is valid if its tokens follow each other in the same order round
 after round; the class of tokens occurring once is the root, and the gaps between its
 tokens are the slots in which further classes nest. What remains in the slots is the
-data. Of it the main text is taken: slots within article or main elements if the page
-has any; else all slots but those of template text or of links only. Menus, headers,
+data. Of it the main text is taken: all slots but those of template text or of links
+only. Article and main elements are a hint: if the data within them has at least as many
+characters outside links as the data elsewhere, only theirs is taken. Menus, headers,
 footers, asides, forms, adverts, notices and reader comments are told by their
 elements, classes and roles.
 """
@@ -209,13 +210,13 @@ def main_text(page: str | None, template: dict[int, int]) -> str:
     """Blocks of main text joined by empty lines, given the host's template (token to class)."""
     tokens, nodes = parse(page or "")
     slots, used = _slots(tokens, template)
-    kept = [n for n in nodes if not n.dropped]
-    if any(n.region for n in kept):
+    kept = [n for n in nodes if not n.dropped and n.at not in used]
+    worded = {slots[n.at] for n in kept if not n.link}
+    kept = [n for n in kept if slots[n.at] in worded]
+    inside = sum(len(n.text.strip()) for n in kept if n.region and not n.link)
+    outside = sum(len(n.text.strip()) for n in kept if not n.region and not n.link)
+    if inside and inside >= outside:
         kept = [n for n in kept if n.region]
-    else:
-        kept = [n for n in kept if n.at not in used]
-        worded = {slots[n.at] for n in kept if not n.link}
-        kept = [n for n in kept if slots[n.at] in worded]
     blocks: dict[int, list[str]] = {}
     for node in kept:
         blocks.setdefault(node.block, []).append(node.text)

@@ -77,3 +77,19 @@ def test_classes_out_of_order_are_not_used():
     assert used >= {5, 6} and slots == [0, 0, 0, 0, 0, 1, 2]
     _, used = H._slots([1, 1, 2, 2], {1: 50, 2: 50})
     assert used == set()
+
+
+def test_regions_pass_through_the_template(spark):
+    """Unnamed boilerplate within articles goes; text outside articles of teasers stays."""
+    rng = random.Random(2)
+    say = lambda n: " ".join(rng.choice("alpha beta gamma delta eps".split()) + str(rng.randrange(999)) for _ in range(n))
+    rows, want = [], {}
+    for k in range(20):
+        want[k] = say(30)
+        rows.append((k, f"http://a/{k}", f"<html><body><article><div class=k1>All rights with us</div><p>{want[k]}</p><div class=k2>Sent by wire</div></article></body></html>", "", 1))
+        body = say(60)
+        want[100 + k] = body
+        teasers = "".join(f"<article><a href=/{say(1)}>{say(3)}</a></article>" for _ in range(3))
+        rows.append((100 + k, f"http://t/{k}", f"<html><body><h2>Our paper</h2><div class=z>{body}</div><h2>More</h2><section>{teasers}</section></body></html>", "", 1))
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == want
