@@ -92,8 +92,9 @@ def mix(docs: DataFrame, budget: int | None = None, entropy: float = TARGET_ENTR
     ``docs`` has ``row_id`` (unique or at least the same for rows that are alike),
     ``source`` and ``n_tokens``. Returns ``row_id``, ``source``, ``n_tokens``,
     ``epoch`` (from 0), ``block`` and ``start``, the tokens of the source's epoch that
-    come before it. Documents without tokens are used once per full epoch. ``budget``
-    defaults to all tokens. An empty table gives no rows.
+    come before it. Documents without tokens are used once per full epoch of their source;
+    a source without any token has no share, and none of its documents is used. ``budget``
+    defaults to all tokens. A table without tokens gives no rows.
     """
     docs = common.store(docs.select("row_id", "source", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens")), "mix-docs")
     totals = source_totals(docs)
