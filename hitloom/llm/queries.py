@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import ann, decontaminate, html_template, langmix, line_dedup, mixing, pseudonyms, simhash, toxicity, warc
+from hitloom.llm import (
+    ann,
+    compression,
+    decontaminate,
+    html_template,
+    langmix,
+    line_dedup,
+    mixing,
+    periodic_runs,
+    pseudonyms,
+    simhash,
+    toxicity,
+    warc,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +70,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langmix.identify_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_ann": op2_ann,
@@ -67,4 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
+    "op11_whitening": op11_whitening,
+    "op12_compression": op12_compression,
+    "op13_runs": op13_runs,
 }
