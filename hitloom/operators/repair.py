@@ -2,17 +2,19 @@
 
 A record ends at the line on which its tabs reach the width of the file, so the
 end of one record depends on where the record before ended. To do that without
-reading a file in one task:
+reading a file in one task, and without moving text:
 
-1. lines are stored with their tab counts and cut into chunks of bounded size;
+1. lines are stored with their tab counts in a table bucketed by chunk, so that
+   whatever concerns one chunk later happens where its lines lie;
 2. each chunk reports, for the record open at its start, on which line it may
    end and which record is open at the chunk's end in each case;
 3. one pass per file over these reports gives the state at each chunk's start
    (a report holds a few numbers per line of the chunk's first record);
-4. each chunk then knows where all its records begin and end.
+4. each chunk then knows where all its records begin and end. It keeps one row:
+   a bit for each line of a record over several lines, and one for each first line.
 
-Only line lengths and tab counts pass through Python. The text stays in the JVM:
-single-line records are used as they are, others are joined with ``\\n``.
+Only line lengths and tab counts pass through Python. Single-line records, nearly
+all, are read from the table past those bits; only lines of other records move.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +74,7 @@ def find_anchors(lines: DataFrame, count_all: bool = True) -> DataFrame:
     With ``count_all=False`` the tabs inside an anchor match are not counted, as
     the original width discovery does; widths then come out three too small.
     """
-    text = F.regexp_replace("value", "\r", "")
+    text = F.translate("value", "\r", "")
     between = F.transform(F.split("_text", ANCHOR_PATTERN, -1), count_tabs)
     # An anchor spans two inner tabs, and a leading one unless it opens the line.
     leading = F.transform(
@@ -97,29 +101,71 @@ def find_anchors(lines: DataFrame, count_all: bool = True) -> DataFrame:
     )
 
 
+@dataclass
+class FeedStore:
+    """The tables of one repair, in a folder that all executors reach."""
+
+    name: str
+    path: str
+    buckets: int
+
+    def write(self, df: DataFrame, part: str) -> DataFrame:
+        """A table of the store, bucketed by chunk without a shuffle."""
+        table = f"{self.name}_{part}"
+        writer = df.write.mode("overwrite").format("parquet").option("path", f"{self.path}/{part}")
+        writer.bucketBy(self.buckets, *CHUNK).saveAsTable(table)
+        return df.sparkSession.table(table)
+
+    def drop(self, spark: SparkSession) -> None:
+        """Remove the tables and their files; frames that read them end here."""
+        for part in ("lines", "chunks"):
+            spark.sql(f"DROP TABLE IF EXISTS {self.name}_{part}")
+        target = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def index_lines(
-    lines: DataFrame, chunk_bits: int = CHUNK_BITS, store: str | None = None, count_all: bool = True
+    lines: DataFrame,
+    chunk_bits: int = CHUNK_BITS,
+    store: str | None = None,
+    count_all: bool = True,
+    buckets: int | None = None,
+    anchors: bool = True,
 ) -> DataFrame:
     """Lines with chunk and position, stored so that later steps agree on them.
 
     (``block``, ``row``) orders the lines of a file. ``row`` grows by one per line
     within a read task, so its upper bits cut a task's lines into chunks without a
-    shuffle. ``store`` is a path in a shared folder, by default a new one in the
-    checkpoint folder; later steps read only the columns they need from it.
+    shuffle. ``store`` is a new folder in a shared file system, by default one in the
+    checkpoint folder; the returned frame has it as ``feed_store``, whose ``drop``
+    removes it. ``buckets`` defaults to ``spark.sql.shuffle.partitions``. Without
+    ``anchors`` (the widths are known) no anchor is searched.
     """
-    spark = lines.sparkSession
-    path = store or f"{checkpoint_folder(spark)}/feed-lines-{uuid.uuid4().hex}"
-    find_anchors(lines, count_all).select(
-        "path",
-        "block",
-        F.shiftright("row", chunk_bits).alias("part"),
-        "row",
-        "text",
-        "tabs",
-        F.length("text").alias("chars"),
-        "anchors",
-    ).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    spark, ident = lines.sparkSession, uuid.uuid4().hex
+    path = store or f"{checkpoint_folder(spark).rstrip('/')}/feed-{ident}"
+    held = FeedStore(f"feed_{ident}", path, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if anchors:
+        found = find_anchors(lines, count_all)
+    else:
+        text = F.translate("value", "\r", "")
+        found = lines.select(*lines.columns, text.alias("text")).select(
+            "*", count_tabs(F.col("text")).alias("tabs"), F.array().cast("array<int>").alias("anchors")
+        )
+    indexed = held.write(
+        found.select(
+            "path",
+            "block",
+            F.shiftright("row", chunk_bits).alias("part"),
+            "row",
+            "text",
+            "tabs",
+            F.length("text").alias("chars"),
+            "anchors",
+        ),
+        "lines",
+    )
+    indexed.feed_store = held
+    return indexed
 
 
 # -- width ---------------------------------------------------------------------
@@ -295,90 +341,121 @@ def _carry_states(max_chars: int):
     return carry
 
 
-_OWNER = (
-    "path string, block bigint, part bigint, row bigint, record_block bigint, record_row bigint, "
-    "alone boolean, width int"
+_PLACES = (
+    "path string, block bigint, part bigint, width int, first_row bigint, members array<bigint>, "
+    "firsts array<bigint>, open_block bigint, open_row bigint"
 )
 
 
-def _assign_lines(max_chars: int):
-    """Step 4: the record each line belongs to, named by the record's first line."""
+def _bits(offsets: np.ndarray) -> pa.Array:
+    """One list of longs with the bits of these offsets, or null without any."""
+    kind = pa.list_(pa.int64())
+    if not len(offsets):
+        return pa.array([None], kind)
+    marked = np.zeros((int(offsets[-1]) // 64 + 1) * 64, dtype=np.uint8)
+    marked[offsets] = 1
+    return pa.array([np.packbits(marked, bitorder="little").view("<i8")], kind)
+
+
+def _place_records(max_chars: int):
+    """Step 4: which lines of a chunk belong to records over several lines, and which begin one.
 
-    def assign(table: pa.Table) -> pa.Table:
+    A record that is not closed by one filled line of this chunk counts as such.
+    """
+
+    def place(table: pa.Table) -> pa.Table:
         c = _Chunk(table, max_chars)
         open_block, open_row, open_tabs, open_chars = (
             c.table[name][0].as_py() for name in ("open_block", "open_row", "open_tabs", "open_chars")
         )
-        owner_row = np.full(c.count, -1, dtype=np.int64)
-        owner_block = np.full(c.count, c.block, dtype=np.int64)
-        alone = np.zeros(c.count, dtype=bool)
+        member, first_of = c.filled.copy(), np.zeros(c.count, dtype=bool)
         filled_to = np.cumsum(c.filled)
         at = 0
         if open_row >= 0:
             full = int(np.searchsorted(c.tabs, c.width - open_tabs, side="left"))
             over = int(np.searchsorted(c.chars, max_chars - open_chars, side="right"))
             at = min(full, over, c.count - 1) + 1
-            owner_row[:at], owner_block[:at] = open_row, open_block
         while at < c.count:
             end, first = min(c.close[at], c.count - 1), c.next_filled[at]
             if first <= end:
-                owner_row[at : end + 1] = c.rows[first]
-                alone[first] = c.close[at] < c.count and filled_to[end] == filled_to[first]
+                alone = c.close[at] < c.count and filled_to[end] == filled_to[first]
+                member[first], first_of[first] = not alone, not alone
             at = end + 1
-        keep = np.flatnonzero((owner_row >= 0) & c.filled)
-        size = len(keep)
-        return pa.table(
-            [
-                pa.repeat(pa.scalar(c.path), size),
-                pa.repeat(pa.scalar(c.block, pa.int64()), size),
-                pa.repeat(pa.scalar(c.part, pa.int64()), size),
-                pa.array(c.rows[keep]),
-                pa.array(owner_block[keep]),
-                pa.array(owner_row[keep]),
-                pa.array(alone[keep]),
-                pa.repeat(pa.scalar(c.width, pa.int32()), size),
-            ],
-            names=[*CHUNK, "row", "record_block", "record_row", "alone", "width"],
-        )
+        offsets = c.rows - c.rows[0]
+        place = [pa.array([c.path]), *(pa.array([v], pa.int64()) for v in (c.block, c.part))]
+        more = [pa.array([c.width], pa.int32()), pa.array([int(c.rows[0])], pa.int64())]
+        bits = [_bits(offsets[np.flatnonzero(marks)]) for marks in (member, first_of)]
+        before = [pa.array([v], pa.int64()) for v in (open_block, open_row)]
+        return pa.table([*place, *more, *bits, *before], names=[*CHUNK, "width", "first_row", "members", "firsts", "open_block", "open_row"])
 
-    return assign
+    return place
 
 
-def assemble_records(indexed: DataFrame, widths: DataFrame, max_chars: int = MAX_RECORD_CHARS) -> DataFrame:
-    """Whole records of each file with the number of their tabs.
+def _by_chunk(lines: DataFrame, chunks: DataFrame, how: str = "inner") -> DataFrame:
+    """Lines with the row of their chunk, joined where the lines lie.
 
-    ``widths`` has one row per file. A record that outgrows ``max_chars`` or eight
-    widths ends right there and is marked ``oversize``. In a file without a width
-    above zero each line that is not empty is a record of its own, with a NULL width.
+    A bucket has few chunks, so their rows make a small hash table past which the
+    lines stream; they are neither shuffled nor sorted.
     """
-    sized = known_widths(widths)
-    narrow = indexed.select(*CHUNK, "row", "tabs", "chars").join(sized, "path")
-    reports = narrow.groupBy(*CHUNK).applyInArrow(_report_chunk(max_chars), _REPORT)
+    return lines.join(chunks.hint("shuffle_hash"), list(CHUNK), how)
+
+
+def place_chunks(indexed: DataFrame, widths: DataFrame, max_chars: int = MAX_RECORD_CHARS) -> DataFrame:
+    """Stored steps 2 to 4: one row per chunk of a file with a width above zero."""
+    # Widths come by file; chunks are few, lines are not.
+    sized = indexed.select(*CHUNK).distinct().join(known_widths(widths), "path")
+    narrow = indexed.select(*CHUNK, "row", "tabs", "chars")
+    reports = _by_chunk(narrow, sized).groupBy(*CHUNK).applyInArrow(_report_chunk(max_chars), _REPORT)
     states = (
         reports.repartition("path").sortWithinPartitions(*CHUNK).mapInArrow(_carry_states(max_chars), _STATE)
     )
-    entered = narrow.drop("width").join(states, list(CHUNK))
-    owners = entered.groupBy(*CHUNK).applyInArrow(_assign_lines(max_chars), _OWNER)
+    placed = _by_chunk(narrow, states).groupBy(*CHUNK).applyInArrow(_place_records(max_chars), _PLACES)
+    return indexed.feed_store.write(placed, "chunks")
+
+
+def assemble_records(indexed: DataFrame, widths: DataFrame, max_chars: int = MAX_RECORD_CHARS) -> DataFrame:
+    """Whole records of each file with the number of their tabs.
+
+    ``indexed`` comes from `index_lines`, ``widths`` has one row per file. A record that
+    outgrows ``max_chars`` or eight widths ends right there and is marked ``oversize``.
+    In a file without a width above zero each line that is not empty is a record of its
+    own, with a NULL width. The chunk table is written at once, the records are lazy and
+    read the store.
+    """
+    chunks = place_chunks(indexed, widths, max_chars)
+    lines = indexed.select(*CHUNK, "row", "text", "tabs", "chars")
+    offset = F.col("row") - F.col("first_row")
+
+    def marked(bits: str) -> Column:
+        word = F.get(bits, F.shiftright(offset, 6).cast("int"))
+        return F.coalesce(F.getbit(word, (offset % 64).cast("int")) == 1, F.lit(False))
 
-    lines = indexed.select(*CHUNK, "row", "text", "tabs").join(owners, [*CHUNK, "row"])
-    key = ["path", "record_block", "record_row"]
-    single = lines.filter("alone").selectExpr(*key, "text AS record", "CAST(tabs AS BIGINT) AS tabs", "width")
+    too_large = (F.length("record") > max_chars) | (F.col("tabs") > F.col("width") * MAX_TAB_FACTOR)
+    alone = _by_chunk(lines, chunks.select(*CHUNK, "width", "first_row", "members"), "left")
+    single = alone.filter((F.col("chars") > 0) & ~marked("members")).selectExpr(
+        "path", "block AS record_block", "row AS record_row", "text AS record", "CAST(tabs AS BIGINT) AS tabs", "width"
+    )
+    broken = _by_chunk(lines, chunks.filter("members IS NOT NULL"))
+    before = Window.partitionBy(*CHUNK).orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    owned = broken.filter(marked("members")).select(
+        *CHUNK, "row", "text", "tabs", "width", "open_block", "open_row",
+        F.last(F.when(marked("firsts"), F.col("row")), ignorenulls=True).over(before).alias("own_row"),
+    )
     ordered = F.array_sort(F.collect_list(F.struct("block", "row", "text")))
     joined = (
-        lines.filter("NOT alone")
-        .groupBy(*key)
+        owned.withColumn("record_block", F.when(F.col("own_row").isNull(), F.col("open_block")).otherwise(F.col("block")))
+        .withColumn("record_row", F.coalesce("own_row", "open_row"))
+        .groupBy("path", "record_block", "record_row")
         .agg(
             F.array_join(F.transform(ordered, lambda line: line["text"]), LINE_BREAK).alias("record"),
             F.sum("tabs").alias("tabs"),
             F.max("width").alias("width"),
         )
     )
-    too_large = (F.length("record") > max_chars) | (F.col("tabs") > F.col("width") * MAX_TAB_FACTOR)
-    unsized = indexed.join(sized, "path", "left_anti").filter("chars > 0").selectExpr(
-        "path", "block AS record_block", "row AS record_row", "text AS record", "CAST(tabs AS BIGINT) AS tabs",
-        "CAST(NULL AS INT) AS width", "false AS oversize",
-    )
-    return single.unionByName(joined).select("*", too_large.alias("oversize")).unionByName(unsized)
+    oversize = F.when(F.col("width").isNull(), False).otherwise(too_large)
+    records = single.unionByName(joined).select("*", oversize.alias("oversize"))
+    records.feed_store = indexed.feed_store
+    return records
 
 
 def known_widths(widths: DataFrame) -> DataFrame:
@@ -497,15 +574,34 @@ def repair_files(
     """Classified records of all files; the width is discovered unless given.
 
     A file in which none is found is an error, or with ``missing_width="reject"`` all
-    its lines are rejects with the verdict ``no_width``.
+    its lines are rejects with the verdict ``no_width``. The records read the line
+    store; remove it with ``records.feed_store.drop(spark)`` when they are no longer
+    needed, or use `repaired`, which does.
     """
     if missing_width not in ("error", "reject"):
         raise ValueError("missing_width is 'error' or 'reject'")
-    indexed = index_lines(read_lines(spark, paths), store=store)
-    if width is None:
-        widths = canonical_tabs(tab_histogram(indexed))
-        if missing_width == "error":
-            require_widths(indexed, widths)
-    else:
-        widths = indexed.select("path").distinct().withColumn("width", F.lit(width))
-    return classify_records(assemble_records(indexed, widths, max_chars), tolerance, anchor_field, search)
+    indexed = index_lines(read_lines(spark, paths), store=store, anchors=width is None)
+    try:
+        if width is None:
+            widths = canonical_tabs(tab_histogram(indexed))
+            if missing_width == "error":
+                require_widths(indexed, widths)
+        else:
+            widths = indexed.select("path").distinct().withColumn("width", F.lit(width))
+        assembled = assemble_records(indexed, widths, max_chars)
+    except Exception:
+        indexed.feed_store.drop(spark)
+        raise
+    records = classify_records(assembled, tolerance, anchor_field, search)
+    records.feed_store = indexed.feed_store
+    return records
+
+
+@contextmanager
+def repaired(spark: SparkSession, paths: str | Sequence[str], **options) -> Iterator[DataFrame]:
+    """The records of `repair_files` for a ``with`` block, at whose end the line store goes."""
+    records = repair_files(spark, paths, **options)
+    try:
+        yield records
+    finally:
+        records.feed_store.drop(spark)

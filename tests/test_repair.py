@@ -173,3 +173,55 @@ def test_file_without_width_is_an_error_or_rejected(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "out" / "outcome=reject")).count() == 4
     with pytest.raises(ValueError):
         R.repair_files(spark, str(tmp_path), missing_width="skip")
+
+
+def test_only_lines_of_broken_records_move(spark, feed):
+    folder, texts = feed
+    records = R.repair_files(spark, f"{folder}/*.tsv", width=WIDTH)
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    moved = plan.split("Exchange")[1].split("\n")[0]
+    assert "record_block" in moved and "record_row" in moved
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan and "BroadcastExchange" not in plan
+    assert records.count() == sum(len(fold(t, WIDTH, R.MAX_RECORD_CHARS)) for n, t in texts.items() if n.endswith(".tsv"))
+    records.feed_store.drop(spark)
+
+
+def test_store_goes_at_the_end(spark, feed, tmp_path):
+    folder, _ = feed
+    tables = lambda: {t.name for t in spark.catalog.listTables() if t.name.startswith("feed_")}
+    before = tables()
+    with R.repaired(spark, str(folder / "a.tsv"), width=WIDTH, store=str(tmp_path / "store")) as records:
+        assert records.count() > 100 and (tmp_path / "store" / "lines").exists()
+        assert tables() > before
+    assert not (tmp_path / "store").exists() and tables() == before
+    # Also when no width is found, and when the block fails.
+    (tmp_path / "none.tsv").write_text("a\tb\n")
+    with pytest.raises(ValueError, match="no record width"), R.repaired(spark, str(tmp_path / "none.tsv"), store=str(tmp_path / "two")):
+        raise AssertionError("not reached")
+    with pytest.raises(KeyError), R.repaired(spark, str(folder / "a.tsv"), width=WIDTH, store=str(tmp_path / "three")):
+        raise KeyError("in the block")
+    assert not (tmp_path / "two").exists() and not (tmp_path / "three").exists() and tables() == before
+
+
+def test_outcomes_by_file(spark, feed, tmp_path):
+    folder, texts = feed
+    with R.repaired(spark, str(folder), width=WIDTH, anchor_field=ANCHOR) as records:
+        want = {(r.path.rsplit("/", 1)[-1]): r for r in R.repair_stats(records).collect() if r.path}
+        write_repaired(records, str(tmp_path / "out"))
+        write_repaired(records, str(tmp_path / "flat"), per_file=False)
+    for outcome, count in (("clean", lambda r: r.ok), ("reject", lambda r: r.bad)):
+        whole = tmp_path / "out" / f"outcome={outcome}"
+        rows = spark.read.text(str(whole)).groupBy("source").count().collect()
+        assert {r.source: r["count"] for r in rows} == {n: count(r) for n, r in want.items() if count(r)}
+        flat = spark.read.text(str(tmp_path / "flat" / f"outcome={outcome}"))
+        assert flat.columns == ["value"]
+        assert sorted(r.value for r in flat.collect()) == sorted(r.value for r in spark.read.text(str(whole)).collect())
+    assert set(texts) == set(want)
+
+
+def test_empty_and_blank_files(spark, tmp_path):
+    (tmp_path / "empty.tsv").write_text("")
+    (tmp_path / "blank.tsv").write_text("\n\n\r\n")
+    with R.repaired(spark, str(tmp_path), width=3) as records:
+        assert records.collect() == []
