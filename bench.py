@@ -29,7 +29,7 @@ from hitloom.plans import quality as Q  # noqa: E402
 from hitloom.plans import reports as P  # noqa: E402
 from hitloom.plans.layers import run_layers  # noqa: E402
 from hitloom.sources.layers import GOLD_CLUSTER, SILVER_CLUSTER, write_layer  # noqa: E402
-from hitloom.sources.feed import hit_schema, read_hits  # noqa: E402
+from hitloom.sources.feed import hit_schema  # noqa: E402
 from workload import inputs as I  # noqa: E402
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
@@ -60,7 +60,14 @@ def wide_feed(raw, work: str, settings: Settings) -> float:
     line = F.concat(F.concat_ws("\t", *fields), F.repeat(F.lit("\tx"), WIDE - len(raw.columns)))
     raw.select(line.alias("value")).write.mode("overwrite").text(f"{work}/wide")
     schema = hit_schema(names)
-    return timed(lambda: write_layer(B.to_bronze(read_hits(spark, f"{work}/wide", schema).hits, settings), "bench_wide"), 1)
+    return timed(lambda: write_layer(B.lines_to_bronze(spark.read.text(f"{work}/wide"), schema, settings), "bench_wide"))
+
+
+def feed_files(spark, sf_dir: str, folder: str):
+    """The lines of eight feed files, as the repair reads them."""
+    lines = I.feed_lines(spark, sf_dir)
+    lines.repartition("path").sortWithinPartitions("path", "block", "row").select("value", "path").write.partitionBy("path").text(folder)
+    return lambda: R.read_lines(spark, folder)
 
 
 def main() -> None:
@@ -111,12 +118,19 @@ def main() -> None:
         drain(report())
         queries[name] = timed(lambda: drain(report()))
 
-    indexed = R.index_lines(I.feed_lines(spark, sf_dir))
+    lines = feed_files(spark, sf_dir, f"{work}/feed")
+    indexed = R.index_lines(lines())
     queries["canonical_tabs"] = timed(lambda: drain(R.canonical_tabs(R.tab_histogram(indexed))))
-    widths = R.canonical_tabs(R.tab_histogram(indexed))
-    queries["repair_records"] = timed(
-        lambda: drain(R.classify_records(R.assemble_records(indexed, widths), anchor_field=I.LINE_ANCHOR))
-    )
+    indexed.feed_store.drop(spark)
+
+    def repair() -> None:
+        """From lines to classified records, line store and widths included."""
+        stored = R.index_lines(lines())
+        records = R.assemble_records(stored, R.canonical_tabs(R.tab_histogram(stored)))
+        drain(R.classify_records(records, anchor_field=I.LINE_ANCHOR))
+        stored.feed_store.drop(spark)
+
+    queries["repair_records"] = timed(repair)
     queries["wide_feed_to_bronze"] = wide_feed(inputs.raw, work, settings)
     hits = inputs.raw.count()
     print(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from hitloom.config import Settings
 from hitloom.functions import hits as H
 from hitloom.functions.text import NULL_MARKERS, null_if_blank, null_if_marker
 from hitloom.operators.ordering import number_rows
+from hitloom.sources.feed import field_columns, split_lines
 
 # Raw columns that bronze replaces by derived ones.
 REPLACED = ("post_cust_hit_time_gmt", "post_visid_high", "post_visid_low", "mcvisid", "post_event_list", "event_list")
@@ -74,6 +75,44 @@ def to_bronze(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
 
 
+# Raw columns that the derived ones are made of.
+_READ = (
+    *REPLACED, "cust_hit_time_gmt", "hit_time_gmt", "date_time", "post_cust_visid", "ip", "user_agent",
+    "accept_language", "hitid_high", "hitid_low",
+)
+
+
+def lines_to_bronze(
+    lines: DataFrame,
+    schema: T.StructType,
+    settings: Settings = Settings(),
+    bad: Observation | str | None = None,
+    markers: Sequence[str] = NULL_MARKERS,
+) -> DataFrame:
+    """`to_bronze` of feed lines, for feeds of a thousand columns and more.
+
+    Markers become NULL once, in the array of fields, and only then the array becomes
+    columns: a test for each column costs several times what reading and splitting do.
+    The derived columns are made of the fields as they came.
+    """
+    clean = F.transform("f", lambda field: F.when((F.octet_length(field) > max(map(len, markers))) | ~field.isin(*markers), field))
+    used = [name for name in schema.names if name in _READ]
+    fields = split_lines(lines, len(schema.fields), bad).select(
+        clean.alias("_clean"), *[F.expr(column) for column in field_columns(schema, "f", used)]
+    )
+    kept = keep_timed(fields)
+    if settings.drop_malformed:
+        kept = kept.filter(~H.malformed_hit())
+    passed = [name for name in schema.names if settings.keep_raw or name not in REPLACED]
+    return kept.select(
+        *[F.expr(column) for column in field_columns(schema, "_clean", passed)],
+        H.hit_time().alias("ts_utc"),
+        H.visitor_id(settings.visitor_precedence).alias("distinct_id"),
+        H.parsed_events().alias("events_array"),
+        H.clean_event_list().alias("events_list_clean"),
+    )
+
+
 def _basic_time(name: str):
     number = F.col(name).try_cast("bigint")
     return F.when((F.length(name) == 10) & number.isNotNull(), F.timestamp_seconds(number)).when(

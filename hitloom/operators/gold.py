@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.config import MEASUREMENT_CODES, Settings
 from hitloom.functions import events as E
-from hitloom.operators.lookups import join_label
+from hitloom.operators.lookups import find_name, join_label, name_table
 from hitloom.operators.ordering import number_rows, number_within
 
 # Labelled column -> (lookup, code column, label for a miss).
@@ -168,25 +168,54 @@ def _events_of_hit(branches: Sequence[str]) -> Column:
     return F.concat(*[parts[branch] for branch in branches])
 
 
-def join_event_names(df: DataFrame, event_map: DataFrame, base_events: DataFrame) -> DataFrame:
-    """Mapped and original name of each exploded event.
+def event_names(event_map: DataFrame, base_events: DataFrame) -> DataFrame:
+    """Rows (code, mapped, original) of both tables, not yet one per code."""
+    mapped = event_map.select(F.col("code").cast("bigint").alias("code"), F.col("name").alias("mapped"))
+    original = base_events.select(F.col("id").cast("bigint").alias("code"), F.col("name").alias("original"))
+    return mapped.unionByName(original, allowMissingColumns=True).filter(F.col("code").isNotNull())
 
-    Rows without a code get distinct negative join keys: were the map too large
-    to broadcast, all page views would otherwise meet in one task.
+
+def hot_salts(codes: DataFrame, parts: int) -> Column:
+    """Scalar map from hot codes (more than one part in ``parts`` of all) to their shares, rounded up.
+
+    At most ``parts`` codes are hot, and their shares add up to at most twice that.
     """
-    mapped = event_map.filter(F.col("code").isNotNull()).groupBy("code").agg(F.min("name").alias("_mapped"))
-    original = (
-        base_events.filter(F.col("id").isNotNull())
-        .groupBy(F.col("id").cast("bigint").alias("code"))
-        .agg(F.min("name").alias("_original"))
-    )
-    spread = -1 - F.pmod(F.xxhash64("distinct_id", "ts_utc"), F.lit(100_000))
-    keyed = df.withColumn("_key", F.coalesce(F.col("event.event_code"), spread))
-    return (
-        keyed.join(mapped.withColumnRenamed("code", "_key"), "_key", "left")
-        .join(original.withColumnRenamed("code", "_key"), "_key", "left")
-        .drop("_key")
+    counts = codes.filter(F.col("code").isNotNull()).groupBy("code").agg(F.count(F.lit(1)).alias("rows"))
+    all_rows = counts.agg(F.sum("rows").alias("total"))
+    share = F.ceil(F.col("rows") * parts / F.col("total")).cast("int")
+    hot = counts.crossJoin(F.broadcast(all_rows)).filter(F.col("rows") * parts > F.col("total"))
+    return hot.agg(F.map_from_entries(F.collect_list(F.struct("code", share.alias("salts")))).alias("salts")).scalar()
+
+
+def _join_salted(df: DataFrame, names: DataFrame, codes: DataFrame, code: Column) -> DataFrame:
+    """Names joined on (code, salt): a hot code's events meet as many copies of its names as it has salts.
+
+    Rows without a code get distinct negative keys, or all page views would meet in one task.
+    """
+    parts = min(1000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salts = hot_salts(codes, parts)
+    some = F.xxhash64("distinct_id", "ts_utc", code, "event.event_sequence")
+    many = lambda key: F.coalesce(F.try_element_at(salts, key), F.lit(1))
+    keyed = df.withColumn("_key", F.coalesce(code, -1 - F.pmod(some, F.lit(100_000)))).withColumn(
+        "_salt", F.pmod(some, many(code).cast("bigint")).cast("int")
     )
+    unique = names.groupBy("code").agg(F.min("mapped").alias("mapped"), F.min("original").alias("original"))
+    spread = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), many(F.col("code")) - 1)))
+    return keyed.join(spread.withColumnRenamed("code", "_key"), ["_key", "_salt"], "left").drop("_key", "_salt")
+
+
+def join_event_names(
+    df: DataFrame, event_map: DataFrame, base_events: DataFrame, codes: DataFrame | None = None
+) -> DataFrame:
+    """``mapped`` and ``original`` name of each exploded event.
+
+    Both are looked up where the event is; no event moves. With ``codes``, the codes of
+    all events (one row each), tables of any size are joined with salted hot codes.
+    """
+    names, code = event_names(event_map, base_events), F.col("event.event_code")
+    if codes is not None:
+        return _join_salted(df, names, codes, code)
+    return df.withColumn("_found", find_name(name_table(names), code)).select(*df.columns, "_found.mapped", "_found.original")
 
 
 def to_gold(
@@ -213,20 +242,23 @@ def to_gold(
     )
     labelled = lookup_labels(hit_numbers(hits, **limits), lookups)
     exploded = labelled.withColumn("event", F.explode("events")).drop("events")
-    named = join_event_names(exploded, event_map, base_events)
+    if settings.event_lookup == "inline":
+        named = join_event_names(exploded, event_map, base_events)
+    else:
+        named = join_event_names(exploded, event_map, base_events, timed.select(F.explode("events_enhanced.event_code").alias("code")))
 
     kind = F.col("event.hit_type")
     business = kind.isin("event_on_page", "link_tracking")
     nudge = F.when(business, F.col("event.event_sequence") * NUDGE_SECONDS).otherwise(0)
     at = F.timestamp_add("SECOND", nudge, "ts_utc")
     title = F.coalesce("page_name", "page_url", F.when(kind == "measurement_only", "Unknown"))
-    name = F.coalesce(F.when(business, F.col("_mapped")), F.col("event.event_name"))
+    name = F.coalesce(F.when(business, F.col("mapped")), F.col("event.event_name"))
     per_event = {
         "insert_id": E.insert_id(F.col("distinct_id"), name, at),
         "ts_utc": at,
         "event_name": name,
         "original_event_code": F.col("event.event_code"),
-        "original_event_name": F.when(business, F.coalesce("_original", "event.event_name")),
+        "original_event_name": F.when(business, F.coalesce("original", "event.event_name")),
         "is_page_view": kind == "page_view",
         "is_link_tracking": kind.isin("link_tracking", "measurement_only"),
         "page_title": title,
@@ -238,13 +270,43 @@ def to_gold(
     return named.select(*[per_event[c].alias(c) if c in per_event else F.col(c) for c in GOLD_COLUMNS])
 
 
-def dedupe_events(gold: DataFrame) -> DataFrame:
-    """One row per insert id; equal-time events of one visitor share theirs.
+#: Bits of the filter that tells which rows may share an id; a bound, not a share of the rows.
+FILTER_BITS = 1 << 24
+
+
+def _id_filter(ids: DataFrame, bits: int) -> Callable[[Column], Column]:
+    """A test that is true for all of these ids and, with few of them, for few others.
+
+    The bits are words of 64 in one array, made by a scalar subquery when the plan runs.
+    """
+    place = lambda column: F.pmod(F.xxhash64(column), F.lit(bits))
+    at = place(F.col("insert_id"))
+    words = ids.select(F.shiftright(at, 6).cast("int").alias("_word"), (at % 64).cast("int").alias("_bit")).groupBy("_word").agg(
+        F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits")
+    )
+    some = ids.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("_word")).join(words, "_word", "left")
+    listed = F.array_sort(F.collect_list(F.struct("_word", F.coalesce("_bits", F.lit(0).cast("bigint")).alias("_bits"))))
+    table = some.agg(F.transform(listed, lambda w: w["_bits"]).alias("bits")).scalar()
+
+    def may_be(column: Column) -> Column:
+        here = place(column)
+        return F.getbit(F.get(table, F.shiftright(here, 6).cast("int")), (here % 64).cast("int")) == 1
+
+    return may_be
+
+
+def dedupe_events(gold: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """One row per insert id, the one of the first hit and event; equal-time events of one visitor share theirs.
 
-    Events without an id are not taken for one another: all of them stay.
+    Events without an id are not taken for one another: all of them stay. Ids are
+    counted alone, combined before the shuffle. A filter of fixed size over those that
+    occur twice or more then lets all other rows pass where they are; only rows that may
+    share their id are moved and compared. The more ids repeat, the more rows move; the
+    result is the same.
     """
     keep = F.struct("original_hit_no", "event_sequence")
     rest = [name for name in gold.columns if name != "insert_id"]
-    best = F.min_by(F.struct(*rest), keep)
-    named = gold.filter(F.col("insert_id").isNotNull()).groupBy("insert_id").agg(best.alias("_row"))
-    return named.select("insert_id", "_row.*").select(*gold.columns).union(gold.filter(F.col("insert_id").isNull()))
+    counted = gold.filter(F.col("insert_id").isNotNull()).groupBy("insert_id").agg(F.count(F.lit(1)).alias("_rows"))
+    shared = F.coalesce(_id_filter(counted.filter("_rows > 1"), bits)(F.col("insert_id")), F.lit(False)) & F.col("insert_id").isNotNull()
+    first = gold.filter(shared).groupBy("insert_id").agg(F.min_by(F.struct(*rest), keep).alias("_row"))
+    return first.select("insert_id", "_row.*").select(*gold.columns).union(gold.filter(~shared))

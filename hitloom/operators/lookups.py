@@ -1,4 +1,4 @@
-"""Labels for coded columns."""
+"""Labels for coded columns, and tables of names that expressions can look into."""
 
 from __future__ import annotations
 
@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from hitloom.session import checkpoint_folder
 
+#: A table of names for expressions has at most so many rows; more are an error.
+MAX_NAMES = 1_000_000
+NAME_SLOTS = 4096
+
 
 def unique_lookup(lookup: DataFrame) -> DataFrame:
     """One row per id, so that a label join never multiplies hits."""
@@ -54,3 +58,35 @@ def join_label(df: DataFrame, lookup: DataFrame, key: str, prefix: str, out: str
         .withColumn(out, label(key, "_name", prefix))
         .drop("_id", "_name")
     )
+
+
+def name_table(names: DataFrame, key: str = "code") -> Column:
+    """All rows of ``names`` by ``key`` in one value, for `find_name` in any expression.
+
+    Of rows with the same key the least of each other column counts; NULL keys are left
+    out. The value is computed by a scalar subquery once when a plan that uses it runs: no
+    job while planning, no join, no shuffle of the rows that look into it, and it works on
+    a stream. Where a lambda needs it, select it as a column first; the optimizer puts it
+    in its place. A map in Spark is read from its start, so codes are dealt to
+    ``NAME_SLOTS`` short ones. A table of more than ``MAX_NAMES`` keys, too large to be
+    sent to every task, fails with a message that names the way to join it instead.
+    """
+    others = [name for name in names.columns if name != key]
+    code = F.col(key).cast("bigint")
+    keyed = names.select(code.alias("_code"), *others, F.pmod(code, F.lit(NAME_SLOTS)).cast("int").alias("_slot"))
+    # One row without a key for each slot: there are no gaps between slots then.
+    empty = names.sparkSession.range(NAME_SLOTS).select(F.col("id").cast("int").alias("_slot"))
+    dealt = keyed.filter("_code IS NOT NULL").unionByName(empty, allowMissingColumns=True).repartition("_slot")
+    unique = dealt.groupBy("_slot", "_code").agg(*[F.min(name).alias(name) for name in others])
+    entry = F.when(F.col("_code").isNotNull(), F.struct(F.col("_code"), F.struct(*others)))
+    slots = unique.groupBy("_slot").agg(F.map_from_entries(F.collect_list(entry)).alias("_names"), F.count("_code").alias("_rows"))
+    by_slot = F.array_sort(F.collect_list(F.struct("_slot", "_names")), lambda a, b: a["_slot"] - b["_slot"])
+    whole = slots.agg(F.transform(by_slot, lambda s: s["_names"]).alias("names"), F.sum("_rows").alias("rows"))
+    message = F.lit(f"more than {MAX_NAMES} names for a table in memory: use event_lookup = 'join'")
+    checked = F.when(F.col("rows") <= MAX_NAMES, F.col("names")).otherwise(F.raise_error(message))
+    return whole.select(checked.alias("names")).scalar()
+
+
+def find_name(table: Column, code: Column) -> Column:
+    """The struct of the other columns that a `name_table` has for a code, or NULL."""
+    return F.try_element_at(F.get(table, F.pmod(code, F.lit(NAME_SLOTS)).cast("int")), code.cast("bigint"))

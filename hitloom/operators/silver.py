@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,51 +11,16 @@ from pyspark.sql import functions as F
 from hitloom.config import Settings
 from hitloom.functions import events as E
 from hitloom.functions.text import alias_name, unique_names
+from hitloom.operators.lookups import find_name, name_table
 from hitloom.operators.ordering import previous_value
 from hitloom.session import checkpoint_folder
 
 # Hits of one visitor follow each other in this order.
 HIT_ORDER = ("ts_utc", "hitid_high", "hitid_low")
-# At most this many event codes go into a constant of the plan.
-MAX_NAMED_CODES = 20_000
-
-
-def occurring_names(df: DataFrame, event_map: DataFrame) -> DataFrame:
-    """(code, name) of the events that occur, one name per code.
-
-    Codes are counted down to distinct ones before the shuffle, so the size of
-    the event map does not matter.
-    """
-    codes = df.select(F.explode("events_array.event_code").alias("code")).distinct()
-    return (
-        event_map.filter(F.col("code").isNotNull() & F.col("name").isNotNull())
-        .join(codes, "code", "left_semi")
-        .groupBy("code")
-        .agg(F.min("name").alias("name"))
-    )
-
-
-def _name_constant(rows: list) -> Callable[[Column], Column]:
-    """Names as a constant that Catalyst folds: small maps in slots by code.
-
-    A map lookup in Spark reads the map from the start, so each slot is kept short.
-    A joined column of names would be copied into every row instead.
-    """
-    slots = max(1, len(rows) // 4)
-    filled: list[dict[str, str]] = [{} for _ in range(slots)]
-    for code, name in rows:
-        filled[code % slots][str(code)] = name
-    constant = F.from_json(F.lit(json.dumps(filled)), "array<map<string,string>>")
-
-    def name_of(code: Column) -> Column:
-        slot = F.get(constant, F.pmod(code, F.lit(slots)).cast("int"))
-        return F.coalesce(F.try_element_at(slot, code.cast("string")), E.literal_event_name(code))
-
-    return name_of
 
 
 def _enhance_by_join(df: DataFrame, names: DataFrame, out: str) -> DataFrame:
-    """The way for any number of codes: explode, join the names, gather again.
+    """The way for maps of any size: explode, join the names, gather again.
 
     Rows get a number that must not change between uses, so they are stored once.
     Gathering is per hit, hence never larger than one event list.
@@ -83,24 +47,38 @@ def enhance_events(
     name_source: str = "literal",
     event_map: DataFrame | None = None,
     out: str = "events_enhanced",
-    max_codes: int = MAX_NAMED_CODES,
+    lookup: str = "inline",
 ) -> DataFrame:
-    """Events with name, type and measurement flag, as an array per hit."""
+    """Events with name, type and measurement flag, as an array per hit.
+
+    Names come from the event map through `name_table`, so nothing runs while this is
+    planned, hits are not moved, and hits may be a stream. With ``lookup="join"``, for
+    maps beyond its limit, events are joined and gathered, and hits are stored on the way.
+    """
     if name_source == "literal":
         return df.select("*", E.enhanced_events(F.col("events_array")).alias(out))
     if name_source != "event_map" or event_map is None:
         raise ValueError("name_source is 'literal', or 'event_map' with an event map")
-    names = occurring_names(df, event_map)
-    rows = names.limit(max_codes + 1).collect()
-    if len(rows) > max_codes:
-        return _enhance_by_join(df, names, out)
-    return df.select("*", E.enhanced_events(F.col("events_array"), _name_constant(rows)).alias(out))
+    if lookup not in ("inline", "join"):
+        raise ValueError("lookup is 'inline' or 'join'")
+    names = event_map.select(F.col("code").cast("bigint").alias("code"), "name").filter("code IS NOT NULL AND name IS NOT NULL")
+    if lookup == "join":
+        return _enhance_by_join(df, names.groupBy("code").agg(F.min("name").alias("name")), out)
+    name_of = lambda code: F.coalesce(find_name(F.col("_names"), code)["name"], E.literal_event_name(code))
+    tabled = df.select("*", name_table(names).alias("_names"))
+    return tabled.select(*[F.col(f"`{c}`") for c in df.columns], E.enhanced_events(F.col("events_array"), name_of).alias(out))
 
 
 def evar_instances(df: DataFrame, number_offset: int = 9999) -> DataFrame:
     return df.select("*", E.evar_instances(F.col("events_array"), number_offset).alias("evar_instances"))
 
 
+def classify_hits(df: DataFrame) -> DataFrame:
+    """Whether a hit has any event with a code."""
+    has_events = F.when(F.size("events_enhanced") > 0, "has_events").otherwise("no_events")
+    return df.select("*", has_events.alias("event_classification"))
+
+
 def detect_page_view(
     df: DataFrame,
     use_post_page_event: bool = True,
@@ -177,15 +155,10 @@ def to_silver(
     **limits: float,
 ) -> DataFrame:
     """Hits without a time take part in the URL comparison, then drop out."""
-    named = enhance_events(bronze, settings.name_source, event_map)
+    named = enhance_events(bronze, settings.name_source, event_map, lookup=settings.event_lookup)
     named = evar_instances(named, settings.evar_number_offset)
     viewed = detect_page_view(
         named, settings.use_post_page_event, settings.use_url_change, settings.use_evar_instances, **limits
     ).filter(F.col("ts_utc").isNotNull())
     pairs = sdr_alias_pairs(_named_evars(sdr_evars).unionByName(_named_props(sdr_props)), viewed.columns)
-    has_events = F.when(F.size("events_enhanced") > 0, "has_events").otherwise("no_events")
-    return viewed.select(
-        *[F.col(f"`{name}`") for name in viewed.columns if name != "events_array"],
-        has_events.alias("event_classification"),
-        *alias_columns(viewed, pairs),
-    )
+    return classify_hits(viewed.drop("events_array")).select("*", *alias_columns(viewed, pairs))

@@ -15,9 +15,10 @@ from hitloom.operators import event_map as M
 from hitloom.operators import gold as G
 from hitloom.operators import silver as S
 from hitloom.operators.lookups import reduce_lookups
+from hitloom.operators.repair import repaired
 from hitloom.plans import quality as Q
 from hitloom.sources.feed import HitFeed, read_hit_schema, read_hits, read_lookup, read_sdr
-from hitloom.sources.layers import GOLD_CLUSTER, SILVER_CLUSTER, table_exists, write_layer
+from hitloom.sources.layers import GOLD_CLUSTER, SILVER_CLUSTER, table_exists, write_layer, write_repaired
 
 # Lookup files, each ``<name>.tsv``.
 VALUE_LOOKUPS = (
@@ -62,18 +63,9 @@ def load_inputs(
     else:
         schema = read_hit_schema(spark, f"{lookup_folder}/columns.csv")
         feed: HitFeed = read_hits(spark, feed_paths, schema, settings.max_bad_records)
-        # The table gets its name once it is checked: what a lost driver leaves
-        # behind, or one with too many rejects, is never taken for a finished one.
-        unchecked = f"{raw_table}_unchecked"
-        write_layer(feed.hits, unchecked)
-        try:
-            feed.check()
-        except ValueError:
-            spark.sql(f"DROP TABLE {unchecked}")
-            raise
-        spark.sql(f"DROP TABLE IF EXISTS {raw_table}")
-        spark.sql(f"ALTER TABLE {unchecked} RENAME TO {raw_table}")
-        raw = spark.table(raw_table)
+        # The table gets its name once it is checked: one with too many rejects, or what
+        # a lost driver leaves behind, is never taken for a finished one.
+        raw = write_layer(feed.hits, raw_table, verify=feed.check)
     sdr = {kind: read_sdr(spark, f"{lookup_folder}/sdr/{file}.tsv", kind) for file, kind in SDR_FILES.items()}
     return Inputs(
         raw=raw,
@@ -85,6 +77,29 @@ def load_inputs(
     )
 
 
+def load_broken_inputs(
+    spark: SparkSession,
+    feed_paths: str | list[str],
+    lookup_folder: str,
+    clean_folder: str,
+    settings: Settings = Settings(),
+    raw_table: str = "raw",
+    if_exists: str = "skip",
+    **repair_options,
+) -> Inputs:
+    """`load_inputs` for a feed whose records span lines, are shifted or of wrong width.
+
+    The feed is repaired into ``clean_folder`` (clean and rejected records of each file,
+    see `write_repaired`), and the raw table is loaded from the clean ones. A raw table
+    that is kept needs no repair, so none is run.
+    """
+    if if_exists != "skip" or not table_exists(spark, raw_table):
+        options = {"tolerance": settings.padding_tolerance, **repair_options}
+        with repaired(spark, feed_paths, **options) as records:
+            write_repaired(records, clean_folder)
+    return load_inputs(spark, f"{clean_folder}/outcome=clean", lookup_folder, settings, raw_table, if_exists)
+
+
 @dataclass
 class Layers:
     raw: DataFrame

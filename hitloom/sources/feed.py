@@ -35,20 +35,32 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*unique_names(sanitize_name(name) for name in df.columns))
 
 
-def split_hits(lines: DataFrame, schema: T.StructType, bad: Observation | str | None = None) -> DataFrame:
-    """Lines (column ``value``) as hits: short ones padded, long ones left out.
+def split_lines(lines: DataFrame, width: int, bad: Observation | str | None = None) -> DataFrame:
+    """Lines (column ``value``) as arrays ``f`` of fields, without the lines of more than ``width``.
 
     ``bad`` counts the long lines during the same pass that uses the hits: an
     observation, or for a stream the name under which each batch reports them.
     """
-    width = len(schema.fields)
     fields = lines.select(F.split("value", "\t", -1).alias("f"))
     too_long = F.size("f") > width
     if bad is not None:
         fields = fields.observe(bad, F.count_if(too_long).alias("bad_records"), F.count(F.lit(1)).alias("lines"))
-    return fields.filter(~too_long).selectExpr(
-        *[f"get(f, {i}) AS `{field.name}`" for i, field in enumerate(schema.fields)]
-    )
+    return fields.filter(~too_long)
+
+
+def field_columns(schema: T.StructType, array: str = "f", names: Iterable[str] | None = None) -> list[str]:
+    """SQL of columns from an array of fields; missing ones are NULL."""
+    wanted = None if names is None else set(names)
+    return [
+        f"get({array}, {i}) AS `{field.name}`"
+        for i, field in enumerate(schema.fields)
+        if wanted is None or field.name in wanted
+    ]
+
+
+def split_hits(lines: DataFrame, schema: T.StructType, bad: Observation | str | None = None) -> DataFrame:
+    """Lines (column ``value``) as hits: short ones padded, long ones left out and counted (`split_lines`)."""
+    return split_lines(lines, len(schema.fields), bad).selectExpr(*field_columns(schema))
 
 
 @dataclass

@@ -5,8 +5,6 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -33,4 +31,4 @@ def small_layers(spark):
     from hitloom.plans.layers import run_layers
     from workload import inputs
 
-    return run_layers(inputs.inputs(spark, SMALL), prefix="small_")
+    return run_layers(inputs.inputs(spark, inputs.SMALL), prefix="small_")

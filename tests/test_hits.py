@@ -83,12 +83,12 @@ def _events(spark, rows):
     return spark.createDataFrame(rows, schema)
 
 
-def test_names_by_join_equal_names_by_constant(spark):
+def test_names_by_join_equal_names_in_memory(spark):
     df = _events(spark, [(1, [(1, None), (7, 2.0), (None, 1.0), (1, 9.0)]), (2, []), (3, [(205, 1.0)])])
     names = spark.createDataFrame([(1, "One"), (7, None), (205, "It's \"x\" \\ {y}"), (999, "never")], "code long, name string")
     as_rows = lambda d: [(r.hit, [tuple(e) for e in r.events_enhanced]) for r in d.orderBy("hit").collect()]
     fast = S.enhance_events(df, "event_map", names)
-    wide = S.enhance_events(df, "event_map", names, max_codes=0)
+    wide = S.enhance_events(df, "event_map", names, lookup="join")
     assert as_rows(fast) == as_rows(wide)
     assert fast.dtypes == wide.dtypes
     assert as_rows(fast)[0][1] == [

@@ -7,10 +7,9 @@ from hitloom.config import Settings
 from hitloom.operators import gold as G
 from hitloom.plans import quality as Q
 from hitloom.plans import reports as P
-from hitloom.plans.layers import LayerWarning, check_layers, load_inputs, plan_layers, run_layers
+from hitloom.plans.layers import LayerWarning, check_layers, load_broken_inputs, load_inputs, plan_layers, run_layers
 from workload import inputs
-
-from conftest import SMALL
+from workload.inputs import SMALL
 
 
 def plan_text(df):
@@ -73,9 +72,10 @@ def test_no_window_over_all_hits(spark, small_layers):
     lazy = plan_layers(inputs.inputs(spark, SMALL))
     plan = plan_text(lazy.gold)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    # The only single partition holds the day sizes, read back from a checkpoint.
+    # Single partitions hold the day sizes, read back from a checkpoint, and the slots
+    # of the tables of names.
     for part in plan.split("Exchange SinglePartition")[1:]:
-        assert "Scan ExistingRDD" in part[:600]
+        assert "Scan ExistingRDD" in part[:600] or "partial_collect_list(struct(_slot" in part[:600]
 
 
 def test_reports_read_few_columns_and_days(small_layers):
@@ -127,8 +127,8 @@ def test_distinct_counts_do_not_expand_rows(small_layers):
         assert "Expand" not in plan_text(df)
 
 
-def test_from_files_to_gold(spark, tmp_path):
-    """A feed folder with lookups, read and run the way a user would."""
+def lookup_folder(spark, tmp_path):
+    """Column names of a feed, and a folder with its lookups."""
     names = inputs.inputs(spark, SMALL).raw.columns
     lookups = tmp_path / "lookups"
     for folder in (lookups / "values", lookups / "sdr", tmp_path / "feed"):
@@ -142,6 +142,12 @@ def test_from_files_to_gold(spark, tmp_path):
 
     for name in VALUE_LOOKUPS:
         (lookups / "values" / f"{name}.tsv").write_text("1\tone\n")
+    return names, lookups
+
+
+def test_from_files_to_gold(spark, tmp_path):
+    """A feed folder with lookups, read and run the way a user would."""
+    names, lookups = lookup_folder(spark, tmp_path)
     row = dict.fromkeys(names, "") | {
         "post_cust_hit_time_gmt": "1700000000", "post_visid_high": "1", "post_visid_low": "2",
         "post_event_list": "1,205=3,209=7", "post_page_event": "0", "browser": "1", "post_evar1": "home", "page_url": "u",
@@ -160,3 +166,35 @@ def test_from_files_to_gold(spark, tmp_path):
         )
     assert not spark.catalog.tableExists("files_raw_2")
     assert not spark.catalog.tableExists("files_raw_2_unchecked")
+
+
+def test_from_broken_lines_to_gold(spark, tmp_path):
+    """One call repairs a feed and loads it: same gold as from the feed unbroken."""
+    names, lookups = lookup_folder(spark, tmp_path)
+    hit = ("hit_time_gmt", "hitid_high", "hitid_low")
+    order = [*hit, *(n for n in names if n not in hit)]
+    (lookups / "columns.csv").write_text(",".join(order))
+    lines = []
+    for k in range(60):
+        row = dict.fromkeys(order, "") | {
+            "hit_time_gmt": str(1_700_000_000 + k), "hitid_high": str(10**12 + k), "hitid_low": str(10**12 - k),
+            "post_visid_high": "1", "post_visid_low": str(k % 7), "post_event_list": "1,205=3", "page_url": f"u{k % 3}",
+            "pagename": "first\nsecond" if k % 4 == 0 else "plain",
+        }
+        lines.append("\t".join(row[n] for n in order))
+    (tmp_path / "feed" / "a.tsv").write_text("\n".join(lines[:40]) + "\nlost\tline\n")
+    (tmp_path / "feed" / "b.tsv").write_text("\r\n".join(lines[40:]) + "\r\n")
+    clean = str(tmp_path / "clean")
+    found = load_broken_inputs(spark, str(tmp_path / "feed" / "*.tsv"), str(lookups), clean, raw_table="broken_raw")
+    assert found.raw.count() == 60
+    rejected = spark.read.text(f"{clean}/outcome=reject").collect()
+    assert [(r.value, r.source) for r in rejected] == [("lost\tline", "a.tsv")]
+    gold = run_layers(found, prefix="broken_").gold
+    (tmp_path / "whole").mkdir()
+    (tmp_path / "whole" / "a.tsv").write_text("\n".join(line.replace("\n", "\\n") for line in lines) + "\n")
+    other = load_inputs(spark, str(tmp_path / "whole" / "a.tsv"), str(lookups), raw_table="whole_raw")
+    want = run_layers(other, prefix="whole_").gold
+    assert gold.count() > 100 and gold.exceptAll(want).isEmpty() and want.exceptAll(gold).isEmpty()
+    # A table that is kept is not repaired again.
+    again = load_broken_inputs(spark, str(tmp_path / "none" / "*.tsv"), str(lookups), clean, raw_table="broken_raw")
+    assert again.raw.count() == 60

@@ -7,8 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from workload.compare import compare, connect
-
-from conftest import SMALL
+from workload.inputs import SMALL
 
 SAMPLE = (
     "raw_quality bad_rows field_lengths parse_event_list null_markers bronze bronze_basic event_map_ranked "

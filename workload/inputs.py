@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from hitloom.plans.layers import Inputs
 
+#: The smallest data set.
+SMALL = "/root/testdata/sf0.001"
 TABLES = ("events", "part", "nation", "region", "supplier")
 
 SPARK_TERMS = {

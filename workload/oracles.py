@@ -458,6 +458,10 @@ O["deduped_no_fallback"] = (
     O["deduped_events"].replace(VISITOR, _STRICT).replace("QUALIFY row_number()", "QUALIFY insert_id IS NULL OR row_number()")
 )
 O["hit_numbers_cut"], O["page_views_cut"] = O["hit_numbers"], O["page_views"]
+O["bronze_basic_cut"], O["gold_joined_names"] = O["bronze_basic"], O["gold"]
+O["hit_ids_cut"] = O["hit_ids"].replace(
+    "FROM bronze WHERE", "FROM (SELECT * REPLACE (CAST(date_trunc('day', ts_utc) AS TIMESTAMP) AS ts_utc) FROM bronze) AS bronze WHERE"
+)
 O["export_rows"] = with_ctes(
     f"SELECT {US}, distinct_id, is_page_view, page_url, geo_country, country_name, browser_name, operating_system_name, user_agent FROM gold", "gold"
 )

@@ -340,6 +340,26 @@ def page_views_cut(i):
     return viewed.filter("ts_utc IS NOT NULL").select(*KEY, "distinct_id", "prev_url", "is_page_view")
 
 
+@query
+def hit_ids_cut(i):
+    """Numbers among the hits of a visitor on one day, where a few hits make a key hot."""
+    day = F.date_trunc("DAY", "ts_utc")
+    timed = _bronze(i).filter("ts_utc IS NOT NULL").withColumn("ts_utc", day)
+    return G.hit_ids(timed.select(*KEY, "distinct_id"), share=0.0002, min_rows=2)
+
+
+@query
+def bronze_basic_cut(i):
+    basic = B.to_bronze_basic(i.raw, **CUT)
+    return _exploded(basic, "events_array", *KEY, "distinct_id", "events_list_clean", "event_list")
+
+
+@query
+def gold_joined_names(i):
+    """Gold by joins with salted event codes instead of tables in memory."""
+    return _gold(i, settings=Settings(event_lookup="join"))
+
+
 @query
 def lookup_labels(i):
     coded = _bronze(i).select("hitid_high", "hitid_low", "browser", "os", "connection_type", "geo_country", "ref_type")
