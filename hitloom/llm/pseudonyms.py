@@ -6,6 +6,10 @@ its own format by a keyed Feistel network. The same value gives the same pseudon
 every document, different values give different ones, and the holder of the key can
 undo it (`restore`). Numbers that fail validation, and everything else, stay as they are.
 
+A date is permuted among the dates that can be spelled as it is: day or month first,
+with slashes or dots, fields of one or two digits. Equal dates in different spellings
+therefore have different pseudonyms, and each is spelled as the date it stands for.
+
 A network splits a value into two numbers a and b of known ranges and adds to each in
 turn a keyed hash of the other, modulo its range. The ranges multiply to exactly the
 values the format allows, so every pseudonym is valid again: check digits are computed
@@ -22,6 +26,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: The session setting that holds the key, and the key for trials where it is unset.
+KEY_SETTING = "spark.hitloom.pseudonym.key"
 KEY = "change me"
 ROUNDS = 8
 
@@ -36,10 +42,6 @@ PATTERNS = {
     "card": r"(?<![0-9.\-])(?:[0-9][ \-]?){12,18}[0-9](?![0-9]|-[0-9])",
 }
 ANY = "|".join(PATTERNS.values())
-DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "d/M/yyyy", "M/d/yyyy", "dd.MM.yyyy", "d.M.yyyy")
-FIRST_DAY = "1800-01-01"
-#: Days that have pseudonyms: 400 times 400 from the first on, to 2238.
-DAY_SIDE = 400
 SSN_AREAS, SSN_REST = 898, 99 * 9999
 #: Characters of one half whose number fits 63 bits, and of both.
 _HALF = {10: 18, 36: 12}
@@ -148,27 +150,96 @@ def _ip(key: str, value: Column, undo: bool) -> Column:
     return F.element_at(F.transform(F.array(pair), parts), 1)
 
 
+def _is_leap(year: Column) -> Column:
+    return (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+
+
+def _leaps_before(year: Column) -> Column:
+    """Leap years from year 1 up to the one before."""
+    y = year - 1
+    return F.floor(y / 4) - F.floor(y / 100) + F.floor(y / 400)
+
+
+def _days_of(days: range, months: range) -> list[int]:
+    """Month * 100 + day of these days in a year without a 29th of February."""
+    length = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
+    return [month * 100 + day for month in months for day in days if day <= length[month - 1]]
+
+
+def _date_class(key: str, kind: str, year: Column, monthday: Column, days: list[int], undo: bool) -> Column:
+    """The date permuted among the dates of its class, as a struct ``year``, ``monthday``; null if it is none.
+
+    A class has the same days in every year, so years and days are the two numbers of a
+    network. Leap days are permuted among the leap years. Years stay in their 800 years
+    (the first have one less, the last are 400): 1600 to 2399 among them.
+    """
+    start = F.greatest(F.floor(year / 800) * 800, F.lit(1))
+    years = F.when(year < 800, 799).when(year >= 9600, 400).otherwise(800)
+    held = F.array(*map(F.lit, days))
+    place = F.array_position(held, monthday) - 1
+    pair = feistel(key, f"date-{kind}", year - start, place, years, F.lit(len(days)), F.lit(len(days)), undo)
+    moved = F.element_at(F.transform(F.array(pair), lambda p: F.struct((p["a"] + start).alias("year"), F.element_at(held, (p["b"] + 1).cast("int")).alias("monthday"))), 1)
+    leaps = F.filter(F.sequence(start, start + years - 1), _is_leap)
+    nth = _leaps_before(year) - _leaps_before(start)
+    # The number of leap years as a product of two numbers that are not one, if it is one.
+    parts = F.when(F.size(leaps) % 2 == 0, 2).otherwise(1)
+    leap_pair = feistel(key, f"date-{kind}-leap", nth % parts, F.floor(nth / parts), parts, F.floor(F.size(leaps) / parts), F.lit(29), undo)
+    leap = F.element_at(
+        F.transform(F.array(leap_pair), lambda p: F.struct(F.element_at(leaps, (p["b"] * parts + p["a"] + 1).cast("int")).cast("long").alias("year"), F.lit(229).alias("monthday"))), 1
+    )
+    known = (year > 0) & (place >= 0)
+    return F.when(known, moved).when((year > 0) & (monthday == 229) & _is_leap(year) & F.lit(any(d // 100 == 2 for d in days)), leap)
+
+
+#: Days and months that fields of one and of two digits can hold.
+_ONE, _DAYS, _MONTHS = range(1, 10), range(1, 32), range(1, 13)
+
+
 def _date(key: str, value: Column, undo: bool) -> Column:
+    """Each spelling is a class of its own, so a pseudonym reads back as what it was written as.
+
+    Fields keep their widths. A date with slashes is day first if it can be, and month
+    first if its second field is above 12. Values that are no dates stay.
+    """
     out = value
-    # The first format that reads the value wins.
-    for form in reversed(DATE_FORMATS):
-        shape = form.replace("yyyy", "[0-9]{4}").replace("MM", "[0-9]{2}").replace("dd", "[0-9]{2}")
-        shape = shape.replace("M", "[0-9]{1,2}").replace("d", "[0-9]{1,2}").replace(".", r"\.")
-        day = F.try_to_timestamp(value, F.lit(form)).cast("date")
-        number = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-        pair = feistel(key, "date", F.floor(number / DAY_SIDE), number % DAY_SIDE, F.lit(DAY_SIDE), F.lit(DAY_SIDE), F.lit(8), undo)
-
-        def text(p: Column, form: str) -> Column:
-            return F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), (p["a"] * DAY_SIDE + p["b"]).cast("int")), form)
-
-        texts = F.transform(F.array(pair), _with_form(text, form))
-        known = value.rlike(f"^{shape}$") & number.between(0, DAY_SIDE * DAY_SIDE - 1)
-        out = F.when(known, F.element_at(texts, 1)).otherwise(out)
+    year_last = F.regexp_extract(value, "([0-9]{4})$", 1).try_cast("long")
+    first = F.regexp_extract(value, "^([0-9]{1,2})[/.]", 1).try_cast("long")
+    second = F.regexp_extract(value, "[/.]([0-9]{1,2})[/.]", 1).try_cast("long")
+
+    def written(moved: Column, form: str, month_first: bool) -> Column:
+        day, month = moved["monthday"] % 100, F.floor(moved["monthday"] / 100)
+        fields = [month, day] if month_first else [day, month]
+        return F.format_string(form, *fields, moved["year"])
+
+    classes = []
+    iso = F.regexp_extract(value, "^([0-9]{4})-", 1).try_cast("long")
+    iso_day = (F.regexp_extract(value, "-([0-9]{2})-", 1).try_cast("int") * 100 + F.regexp_extract(value, "-([0-9]{2})$", 1).try_cast("int")).cast("int")
+    moved = _date_class(key, "iso", iso, iso_day, _days_of(_DAYS, _MONTHS), undo)
+    text = F.transform(F.array(moved), lambda m: F.format_string("%04d-%02d-%02d", m["year"], F.floor(m["monthday"] / 100), m["monthday"] % 100))
+    classes.append((r"^[0-9]{4}-", moved, F.element_at(text, 1)))
+    for mark, name in ((r"/", "slash"), (r"\.", "dot")):
+        plain = mark[-1]
+        for w1 in (1, 2):
+            for w2 in (1, 2):
+                shape = rf"^[0-9]{{{w1}}}{mark}[0-9]{{{w2}}}{mark}"
+                days = _days_of(_ONE if w1 == 1 else _DAYS, _ONE if w2 == 1 else _MONTHS)
+                form = f"%0{w1}d{plain}%0{w2}d{plain}%04d"
+                moved = _date_class(key, f"{name}-{w1}{w2}", year_last, (second * 100 + first).cast("int"), days, undo)
+                texts = F.transform(F.array(moved), _with_form(written, form, False))
+                classes.append((shape, moved, F.element_at(texts, 1)))
+            if plain == "/":
+                shape = rf"^[0-9]{{{w1}}}/(?:1[3-9]|[23][0-9])/"
+                days = _days_of(range(13, 32), _ONE if w1 == 1 else _MONTHS)
+                moved = _date_class(key, f"month-first-{w1}", year_last, (first * 100 + second).cast("int"), days, undo)
+                texts = F.transform(F.array(moved), _with_form(written, f"%0{w1}d/%02d/%04d", True))
+                classes.append((shape, moved, F.element_at(texts, 1)))
+    for shape, moved, text in classes:
+        out = F.when(value.rlike(shape) & moved.isNotNull(), text).otherwise(out)
     return out
 
 
-def _with_form(text: Callable, form: str) -> Callable[[Column], Column]:
-    return lambda p: text(p, form)
+def _with_form(written: Callable, form: str, month_first: bool) -> Callable[[Column], Column]:
+    return lambda moved: written(moved, form, month_first)
 
 
 def _phone(key: str, value: Column, undo: bool) -> Column:
@@ -197,13 +268,20 @@ def pseudonym(value: Column, key: str = KEY, undo: bool = False) -> Column:
     return out
 
 
-def replace_values(docs: DataFrame, text: str = "text", key: str = KEY, undo: bool = False) -> DataFrame:
+def session_key(docs: DataFrame) -> str:
+    return docs.sparkSession.conf.get(KEY_SETTING, KEY)
+
+
+def replace_values(docs: DataFrame, text: str = "text", key: str | None = None, undo: bool = False) -> DataFrame:
     """All columns of ``docs`` with pseudonyms in ``text``, and ``n_replaced``.
 
+    The key is that of the session's setting ``spark.hitloom.pseudonym.key`` unless given.
+
     ``n_replaced`` (left out if ``docs`` has a column of that name) counts the values
     changed. Null and empty texts, texts without personal data and repeated rows
     stay as they are. E-mail addresses come back in lower case before the @.
     """
+    key = session_key(docs) if key is None else key
     searched = F.col(text).rlike("[0-9@]")
     found = F.when(searched, F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     rows = docs.withColumn("__found", found)
@@ -217,6 +295,6 @@ def replace_values(docs: DataFrame, text: str = "text", key: str = KEY, undo: bo
     return rows.select(*columns, *extra)
 
 
-def restore(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
+def restore(docs: DataFrame, text: str = "text", key: str | None = None) -> DataFrame:
     """Undo `replace_values` with the same key."""
     return replace_values(docs, text, key, undo=True)

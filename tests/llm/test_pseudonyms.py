@@ -79,3 +79,56 @@ def test_networks_are_permutations(spark):
     assert moved.select("m").distinct().count() == 97 * 101
     back = P.feistel("k", "t", F.col("m.a"), F.col("m.b"), F.lit(97), F.lit(101), F.lit(1), undo=True)
     assert moved.select("a", "b", back.alias("r")).where("r.a != a OR r.b != b").count() == 0
+
+
+def spellings(day):
+    d, m, y = day.day, day.month, f"{day.year:04d}"
+    found = {f"{y}-{m:02d}-{d:02d}"}
+    for mark in "/.":
+        found |= {f"{a}{mark}{b}{mark}{y}" for a in (str(d), f"{d:02d}") for b in (str(m), f"{m:02d}")}
+    # Month first is read as such only where the day can't be a month.
+    return found | ({f"{a}/{d}/{y}" for a in (str(m), f"{m:02d}")} if d > 12 else set())
+
+
+def test_dates_of_every_spelling_are_permuted_in_their_spelling(spark):
+    """Every day of some years, and the days around the leap days of four centuries."""
+    start, days = datetime.date(1996, 1, 1), set()
+    for k in range(3 * 366):
+        days.add(start + datetime.timedelta(k))
+    for year in range(1799, 2240):
+        days |= {datetime.date(year, 2, 28), datetime.date(year, 3, 1), datetime.date(year, 12, 31), datetime.date(year, 1, 9)}
+        if year % 4 == 0 and (year % 100 or year % 400 == 0):
+            days.add(datetime.date(year, 2, 29))
+    days |= {datetime.date(y, m, d) for y, m, d in ((1, 1, 1), (799, 12, 31), (800, 2, 29), (1599, 12, 31), (2400, 2, 29), (9600, 2, 29), (9999, 12, 31))}
+    texts = sorted(set().union(*map(spellings, days)))
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = [r.text for r in P.replace_values(df.repartition(4)).orderBy("doc_id").collect()]
+    back = [r.text for r in P.restore(spark.createDataFrame(list(enumerate(got)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert back == texts
+    assert len(set(got)) == len(texts)
+    shape = lambda t: re.sub("[0-9]", "9", t)
+    assert [shape(t) for t in got] == [shape(t) for t in texts]
+    first = re.compile(r"([0-9]+)[/.]([0-9]+)[/.]([0-9]{4})$")
+    for before, after in zip(texts, got):
+        if (m := first.match(after)) is None:
+            datetime.date.fromisoformat(after)
+            continue
+        a, b, year = map(int, m.groups())
+        assert (b > 12) == (int(first.match(before)[2]) > 12)
+        datetime.date(year, a, b) if b > 12 else datetime.date(year, b, a)
+    assert sum(a == b for a, b in zip(texts, got)) < 40
+    assert all(1600 <= int(t[:4]) < 2400 for t, u in zip(got, texts) if "-" in t and 1600 <= int(u[:4]) < 2400)
+
+
+def test_no_dates(spark):
+    texts = ["0000-01-01", "2023-02-29", "1900-02-29", "31.04.2020", "29/02/2023", "13/13/2000", "00/01/2000", "1/0/2000", "2/30/2000", "12.13.2000"]
+    assert run(spark, texts) == texts
+
+
+def test_key_of_the_session(spark):
+    spark.conf.set(P.KEY_SETTING, "secret")
+    try:
+        with_setting = run(spark, VALID)
+    finally:
+        spark.conf.unset(P.KEY_SETTING)
+    assert with_setting == run(spark, VALID, key="secret") != run(spark, VALID)
