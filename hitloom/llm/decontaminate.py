@@ -78,18 +78,17 @@ def posting_index(docs: DataFrame, terms: DataFrame, text: str = "text") -> Data
 
 
 def aligned(index: DataFrame, searched: DataFrame, slack: int = 0) -> DataFrame:
-    """Offset-adjusted lists, intersected: ``item``, ``text_key``, ``shift``, ``places``.
+    """Offset-adjusted lists, intersected: ``item``, ``text_key``, ``shift``, ``places``, ``first``.
 
     ``shift`` is where the item's first word would stand in the text. With ``slack``
-    the postings may disagree by that many words: shifts are then gathered in bands
-    of ``slack + 1`` and each posting also enters the band before its own.
+    the postings may disagree by that many words: each posting enters every band of
+    ``slack + 1`` shifts that holds its own, so a band holds just the postings whose
+    shifts differ by at most ``slack``. ``first`` is the least shift in the band.
     """
-    lists = index.join(searched, "term").withColumn("shift", F.col("position") - F.col("place"))
-    if slack:
-        band = F.floor(F.col("shift") / (slack + 1))
-        near = F.array(band * (slack + 1), (band - 1) * (slack + 1))
-        lists = lists.withColumn("shift", F.explode(near))
-    return lists.groupBy("item", "text_key", "shift").agg(F.collect_set("place").alias("places"))
+    lists = index.join(searched, "term").withColumn("own", F.col("position") - F.col("place"))
+    bands = F.explode(F.sequence(F.col("own") - slack, F.col("own"))) if slack else F.col("own")
+    lists = lists.withColumn("shift", bands)
+    return lists.groupBy("item", "text_key", "shift").agg(F.collect_set("place").alias("places"), F.min("own").alias("first"))
 
 
 def phrase_matches(docs: DataFrame, classes: DataFrame, index: DataFrame, searched: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -117,15 +116,16 @@ def phrase_matches(docs: DataFrame, classes: DataFrame, index: DataFrame, search
 def proximity_matches(docs: DataFrame, items: DataFrame, slack: int = 3, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """Texts in which all words of an item stand near their places.
 
-    ``text_key``, ``item_id``, ``near``: the first word position (to ``slack + 1``
-    words) around which postings of every word of the item agree, each within
-    ``slack`` words of its place. Works on the index alone, for items of any length.
+    ``text_key``, ``item_id``, ``near``: the first word position from which postings of
+    every word of the item stand where they should, each at most ``slack`` words late.
+    Works on the index alone, for items of any length. Null and empty texts and items
+    match nothing; repeated texts give one row.
     """
     classes, members = item_classes(items, item_id, text)
     searched = classes.select("item", F.posexplode("words").alias("place", "term"))
     index = posting_index(docs, searched, text)
     found = aligned(index, searched, slack).join(classes, "item").where(F.size("places") == F.size("words"))
-    nearest = found.groupBy("text_key", "item").agg(F.min("shift").alias("near"))
+    nearest = found.groupBy("text_key", "item").agg(F.min("first").alias("near"))
     return nearest.join(members, "item").select("text_key", "item_id", "near")
 
 

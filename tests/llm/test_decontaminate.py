@@ -86,3 +86,25 @@ def test_proximity(spark):
     got = D.proximity_matches(df, items, slack=2)
     named = got.join(df.select("doc_id", D.common.text_key(F.col("text")).alias("text_key")), "text_key")
     assert {(r.doc_id, r.item_id) for r in named.collect()} == {(1, 1), (4, 1), (4, 2)}
+
+
+def test_proximity_equals_brute_force(spark):
+    import itertools
+    import random
+
+    rng = random.Random(12)
+    vocabulary = ["a", "b", "c", "d"]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 5)))) for k in range(25)] + [(90, None), (91, "")]
+    docs = [(k, " ".join(rng.choice([*vocabulary, "x", "y", "z"]) for _ in range(rng.randrange(0, 14)))) for k in range(60)] + [(70, None), (71, "a b c d " * 300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for slack in (0, 1, 3):
+        want = {}
+        for (i, item), (k, text) in itertools.product(items, docs):
+            words, seen = (item or "").split(), (text or "").split()
+            shifts = [{p - place for p, w in enumerate(seen) if w == word} for place, word in enumerate(words)]
+            firsts = [s for s in set().union(*shifts) if all(any(s <= v <= s + slack for v in near) for near in shifts)]
+            if words and firsts:
+                want[(k, i)] = min(firsts)
+        got = D.proximity_matches(df, spark.createDataFrame(items, "item_id long, text string"), slack=slack)
+        named = got.join(df.select("doc_id", D.common.text_key(F.col("text")).alias("text_key")), "text_key")
+        assert {(r.doc_id, r.item_id): r.near for r in named.collect()} == want and len(want) > 40
