@@ -107,7 +107,10 @@ def linked_fingerprints(prints: DataFrame, max_distance: int = MAX_DISTANCE) ->
     """Pairs ``a < b`` of the distinct ``fingerprint`` values at most ``max_distance`` bits apart."""
     if not 0 <= max_distance <= 3:
         raise ValueError("halves and a code of radius 1 find distances of 0 to 3 bits")
-    distinct = prints.select(F.col("fingerprint").alias("a")).distinct()
+    # Some bytes each, but every one is replicated to some thirty anchors: a number of
+    # partitions that adaptive execution leaves alone.
+    partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = prints.select(F.col("fingerprint").alias("a")).distinct().repartition(partitions, "a")
     value = F.col("a")
 
     homes, visits = [], []
