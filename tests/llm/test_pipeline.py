@@ -62,22 +62,33 @@ def test_run_writes_each_stage(spark, folder):
     assert {"epoch", "block", "start"} <= set(rows.columns) and rows.count() > 200
 
 
-def test_near_copies_with_edited_words_go(spark, tmp_path):
-    """One and several replaced words in texts of 100 to 400 words; texts with half of the words new stay."""
+def test_near_duplicates_are_those_of_the_simhash_operator(spark, tmp_path):
+    """One document of each component stays, by the operator's own shingles and distance; rows without ids or words too."""
+    from hitloom.llm import simhash
+
     rng = random.Random(11)
-    new = iter(range(10**6))
-    rows, near, far = [], set(), set()
-    for k in range(30):
-        n = (100, 200, 400)[k % 3]
-        words = [f"w{rng.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for k in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range((20, 200, 2000)[k % 3])]
         rows.append((3 * k, " ".join(words)))
-        one = list(words)
-        for at in range(7, n, n)[:1] if k % 2 else [n // 4, n // 2]:
-            one[at] = f"x{next(new)}"
-        rows.append((3 * k + 1, "\n".join(one)))
-        near.add(3 * k + 1)
-        rows.append((3 * k + 2, " ".join(w if i % 2 else f"y{next(new)}" for i, w in enumerate(words))))
-        far.add(3 * k + 2)
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, score string")
-    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()}
-    assert not kept & near and far <= kept and {3 * k for k in range(30)} <= kept
+        rows.append((3 * k + 1, "\n".join(w.upper() for w in words)))
+        words[len(words) // 2] = "new"
+        rows.append((3 * k + 2, " ".join(words)))
+    rows += [(None, rows[0][1]), (None, "only here and nowhere else"), (500, None), (501, ""), (502, " \n "), (0, rows[0][1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, score string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    labels = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.simhash_components(docs).collect()}
+    groups = {c if c is not None else f for (_, f), c in labels.items()}
+    assert len(got) == len(groups) and {3 * k for k in range(40)} <= {i for i, _ in got}
+    assert not {3 * k + 1 for k in range(40)} & {i for i, _ in got}
+    assert {i for i, t in got if i in (500, 501, 502)} == {500} and (None, "only here and nowhere else") in got
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def test_stages_of_an_empty_table(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        assert out.collect() == []
