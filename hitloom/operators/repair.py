@@ -583,7 +583,10 @@ def repair_files(
     indexed = index_lines(read_lines(spark, paths), store=store, anchors=width is None)
     try:
         if width is None:
-            widths = canonical_tabs(tab_histogram(indexed))
+            # One small row per file, kept so that the anchors are read once.
+            found = canonical_tabs(tab_histogram(indexed))
+            found.write.parquet(f"{indexed.feed_store.path}/widths")
+            widths = spark.read.schema(found.schema).parquet(f"{indexed.feed_store.path}/widths")
             if missing_width == "error":
                 require_widths(indexed, widths)
         else:
