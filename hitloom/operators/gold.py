@@ -192,7 +192,8 @@ def _join_salted(df: DataFrame, names: DataFrame, codes: DataFrame, code: Column
 
     Rows without a code get distinct negative keys, or all page views would meet in one task.
     """
-    parts = min(1000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # Several salts for each task, so that tasks get about as many.
+    parts = min(1000, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salts = hot_salts(codes, parts)
     some = F.xxhash64("distinct_id", "ts_utc", code, "event.event_sequence")
     many = lambda key: F.coalesce(F.try_element_at(salts, key), F.lit(1))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from hitloom.operators import bronze as B
@@ -151,3 +152,78 @@ def test_business_events_and_measurements(spark):
     assert [e.event_code for e in row.business_events] == [300]
     assert (row.measurements.video_plays, row.measurements.measurement_209_page_load_time) == (2.0, 4.0)
     assert row.measurements.downloads is None
+
+
+def test_naming_starts_no_job_and_moves_no_hit(spark):
+    df = _events(spark, [(1, [(1, None)]), (2, [(7, 1.0)])])
+    names = spark.createDataFrame([(k, f"n{k}") for k in range(5000)], "code long, name string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("naming", "naming")
+    try:
+        named = S.enhance_events(df, "event_map", names)
+        plan = named._jdf.queryExecution().executedPlan().toString()
+        assert list(tracker.getJobIdsForGroup("naming")) == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    # All exchanges belong to the subquery that gathers the names.
+    assert "Join" not in plan and "Exchange" not in plan.split("Subquery")[0]
+    assert [e[2] for r in named.orderBy("hit").collect() for e in r.events_enhanced] == ["n1", "n7"]
+
+
+def test_tables_of_names(spark, monkeypatch):
+    names = spark.createDataFrame([(1, "b", "y"), (1, "a", None), (None, "z", "z"), (-4097, "c", "x"), (2**40, "d", "w")], "code long, name string, other string")
+    codes = spark.createDataFrame([(1,), (-4097,), (2**40,), (5,), (None,)], "code long")
+    found = codes.select("code", K.find_name(K.name_table(names), F.col("code")).alias("f")).collect()
+    assert {r.code: r.f and tuple(r.f) for r in found} == {1: ("a", "y"), -4097: ("c", "x"), 2**40: ("d", "w"), 5: None, None: None}
+    none = codes.select(K.find_name(K.name_table(names.limit(0)), F.col("code")).alias("f")).collect()
+    assert all(r.f is None for r in none)
+    monkeypatch.setattr(K, "MAX_NAMES", 2)
+    with pytest.raises(Exception, match="event_lookup = 'join'"):
+        codes.select(K.find_name(K.name_table(names), F.col("code")).alias("f")).collect()
+
+
+def test_hot_event_code_is_spread(spark):
+    """With broadcasting off and nine of ten events on one code, no task gets many times what others do."""
+    events = spark.range(20_000).selectExpr(
+        "concat('v', id % 500) AS distinct_id", "timestamp_seconds(id) AS ts_utc",
+        "named_struct('event_code', CASE WHEN id % 10 < 9 THEN 7L WHEN id % 20 = 9 THEN NULL ELSE id % 300 END, 'event_sequence', CAST(id % 4 AS INT)) AS event",
+    )
+    names = spark.createDataFrame([(k, f"n{k}") for k in range(200)], "code long, name string")
+    base = spark.createDataFrame([(k, f"b{k}") for k in range(100, 400)], "id long, name string")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = G.join_event_names(events, names, base, events.selectExpr("event.event_code AS code"))
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        got = joined.selectExpr("distinct_id", "ts_utc", "event.event_code", "mapped", "original")
+        want = G.join_event_names(events, names, base).selectExpr("distinct_id", "ts_utc", "event.event_code", "mapped", "original")
+        assert got.exceptAll(want).isEmpty() and got.count() == 20_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 16 and sizes[-1] <= 4 * sizes[8]
+    assert {(r.mapped, r.original) for r in got.filter("event_code = 7 OR event_code IS NULL").distinct().collect()} == {("n7", None), (None, None)}
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 16])
+def test_only_rows_that_may_share_an_id_are_moved(spark, bits):
+    gold = spark.range(900).selectExpr(
+        "IF(id % 50 = 0, NULL, md5(CAST(IF(id < 300, id % 90, id) AS STRING))) AS insert_id",
+        "id % 7 AS original_hit_no", "CAST(id AS INT) AS event_sequence", "concat('r', id) AS rest",
+    )
+    got = G.dedupe_events(gold, bits)
+    rows = gold.collect()
+    best = {}
+    for r in rows:
+        if r.insert_id is not None:
+            key = (r.original_hit_no, r.event_sequence)
+            if r.insert_id not in best or key < best[r.insert_id][0]:
+                best[r.insert_id] = (key, r.rest)
+    want = sorted([v[1] for v in best.values()] + [r.rest for r in rows if r.insert_id is None])
+    assert sorted(r.rest for r in got.collect()) == want and got.columns == gold.columns
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # Ids alone are counted; whole rows are grouped behind the filter, or pass it.
+    assert plan.count("getbit") == 2 and "Join" not in plan.split("scalar-subquery")[0]

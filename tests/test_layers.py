@@ -198,3 +198,10 @@ def test_from_broken_lines_to_gold(spark, tmp_path):
     # A table that is kept is not repaired again.
     again = load_broken_inputs(spark, str(tmp_path / "none" / "*.tsv"), str(lookups), clean, raw_table="broken_raw")
     assert again.raw.count() == 60
+
+
+def test_joined_names_give_the_same_gold(spark, small_layers):
+    found = inputs.inputs(spark, SMALL)
+    joined = plan_layers(found, Settings(event_lookup="join")).gold
+    stored = small_layers.gold.drop("ts_date")
+    assert joined.exceptAll(stored).isEmpty() and stored.exceptAll(joined).isEmpty()
