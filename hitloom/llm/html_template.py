@@ -55,12 +55,19 @@ DROPPED = frozenset(
     "script style svg template textarea title video".split()
 )
 REGIONS = frozenset("article main".split())
+#: What a class says of these concerns the page, not their text.
+KEPT = frozenset("html body article main".split())
 DROPPED_NAMES = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent "
     "disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification pager "
     "pagination popup promo related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe "
     "toolbar widget widgets".split()
 )
+#: Words that a class or id may add to one of these and still name the same thing.
+NEUTRAL_NAMES = frozenset(
+    "area bar block bottom box container content global group header inner item items left links list main outer page "
+    "primary right secondary section site slot text top wrap wrapper".split()
+)
 DROPPED_ROLES = frozenset("banner navigation contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Elements that an open one of the first name may not stay open under.
 SCOPE = frozenset("html body article section main div table td th ul ol dl blockquote aside nav header footer form button".split())
@@ -96,8 +103,15 @@ def _is_dropped(name: str, attributes: dict[str, str], in_region: bool) -> bool:
         return True
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role") in DROPPED_ROLES:
         return True
-    words = set(_NAME.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}"))
-    return bool(words & DROPPED_NAMES)
+    if name in KEPT or attributes.get("role") == "main":
+        return False
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    return any(_names_dropped(set(_NAME.findall(one))) for one in names)
+
+
+def _names_dropped(words: set[str]) -> bool:
+    """Whether a class names something to drop: ``cookie-notice`` and ``site-footer`` do, ``no-sidebar`` and ``share-price`` don't."""
+    return bool(words & DROPPED_NAMES) and words <= DROPPED_NAMES | NEUTRAL_NAMES
 
 
 def parse(page: str) -> tuple[list[int], list[Node]]:

@@ -93,3 +93,17 @@ def test_regions_pass_through_the_template(spark):
         rows.append((100 + k, f"http://t/{k}", f"<html><body><h2>Our paper</h2><div class=z>{body}</div><h2>More</h2><section>{teasers}</section></body></html>", "", 1))
     got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == want
+
+
+def test_classes_that_merely_hold_a_listed_word(spark):
+    pages = [
+        "<body class='single no-sidebar'><article><p>kept text</p></article></body>",
+        "<body><div class='content with-banner'><p>kept text</p></div></body>",
+        "<body><article class='post has-comments'><p>kept text</p></article></body>",
+        "<body><article><p>kept text</p><div class='share-price'>12.50</div></article></body>",
+        "<html id=comments class=widget><body class=menu><main id=login class=popup><p>kept text</p></main></body>",
+        "<body><article><p>kept text</p><div class='site-footer'>x</div><ul id=comment-list><li>y</ul><div class='x cookie_notice'>z</div><p class=related>r</p></article></body>",
+    ]
+    rows = [(k, f"http://h{k}/", page, "", 1) for k, page in enumerate(pages)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {k: "kept text\n\n12.50" if k == 3 else "kept text" for k in range(6)}
