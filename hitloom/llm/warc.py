@@ -203,7 +203,9 @@ def write_archives(pages: DataFrame, folder: str, per_file: int = RECORDS_PER_FI
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("html"))
     rows = rows.withColumn("digest", F.sha1("html"))
-    least = rows.groupBy("digest").agg(F.min("page_id").alias("least"))
+    # Stored, so that the join below has an exchange of its own on either side and
+    # adaptive execution can split a digest that many pages share.
+    least = common.store(rows.groupBy("digest").agg(F.min("page_id").alias("least")), "least-pages")
     dictionary = build_dictionary(_sample(rows))
     linked = rows.join(least, "digest").withColumn("revisit", ~F.col("page_id").eqNullSafe(F.col("least")))
     records = linked.select("page_id", "url", "html", F.when(F.col("revisit"), F.col("least")).alias("refers_to"), "revisit")
