@@ -381,6 +381,7 @@ def raw_visitor() -> Column:
 
 def layer_summary(raw: DataFrame, bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
     """Rows, visitors, days and time span of each layer."""
+    # The names of the layers.
     parts = [
         raw.agg(
             F.count(F.lit(1)).alias("total_rows"),
@@ -421,6 +422,7 @@ def layer_ratios(summary: DataFrame) -> DataFrame:
 def layer_counts(raw: DataFrame, bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
     """Rows and visitors per layer in layer order; raw only where the clock is set."""
     set_clock = raw.filter(F.col("post_cust_hit_time_gmt").isNotNull())
+    # The names of the layers.
     parts = [("Raw", set_clock, raw_visitor())]
     parts += [(name, df, F.col("distinct_id")) for name, df in (("Bronze", bronze), ("Silver", silver), ("Gold", gold))]
     rank = F.when(F.col("layer") == "Raw", 1).when(F.col("layer") == "Bronze", 2).when(F.col("layer") == "Silver", 3)
@@ -514,6 +516,7 @@ def eventification_check(silver: DataFrame, gold: DataFrame, limit: int | None =
     )
     visitors = timed.select(day, "distinct_id").distinct().groupBy("date_utc").agg(F.count("distinct_id").alias("gold_visitors"))
     events = events.join(visitors, "date_utc")
+    # The texts of the two outcomes.
     same = lambda a, b, what: F.when(F.col(a) == F.col(b), f"✓ {what} preservation").otherwise(f"✗ {what} count mismatch")
     result = hits.join(events, "date_utc").select(
         "date_utc",

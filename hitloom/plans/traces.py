@@ -1,4 +1,7 @@
-"""Follow chosen event codes through the mapping tables and the layers."""
+"""Follow chosen event codes through the mapping tables and the layers.
+
+The texts in ``layer`` and ``source`` columns are fixed values of these reports.
+"""
 
 from __future__ import annotations
 
