@@ -92,7 +92,7 @@ def lines_to_bronze(
     """`to_bronze` of feed lines, for feeds of a thousand columns and more.
 
     Markers become NULL once, in the array of fields, and only then the array becomes
-    columns: a test for each column costs several times what reading and splitting do.
+    columns: a test for each column costs more than reading, splitting and writing do.
     The derived columns are made of the fields as they came.
     """
     clean = F.transform("f", lambda field: F.when((F.octet_length(field) > max(map(len, markers))) | ~field.isin(*markers), field))
