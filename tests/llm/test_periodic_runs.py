@@ -80,7 +80,7 @@ def planted(doc_id, text):
 @pytest.fixture(scope="module")
 def rows():
     rng = random.Random(7)
-    out = [(k, " ".join(rng.choice(["to", "be", "ör", "not", "the"]) + rng.choice(["", "\n", "\t "]) for _ in range(rng.randrange(0, 300)))) for k in range(499)]
+    out = [(k, " ".join(rng.choice(["to", "be", "ör", "not", "the"]) + rng.choice(["", "\n", "\t "]) for _ in range(rng.randrange(0, 60) if k % 4 == 0 else rng.randrange(150, 300)))) for k in range(499)]
     out += [(500, None), (501, ""), (502, " \n\x0b"), (None, "so " * 40), (3, out[3][1]), (504, "so " * 40), (505, "la la ti " * 20 + "so " * 40), (506, "a b " * 24)]
     return out
 
