@@ -25,8 +25,9 @@ class Settings:
     use_evar_instances: bool = False
     # "literal" names events "Event <code>"; "event_map" looks the name up.
     name_source: str = "event_map"
-    # "inline" holds names and labels of events in memory; "join" is for maps too large.
-    event_lookup: str = "inline"
+    # "inline" holds all names of events in memory, "join" joins them; "auto" holds those
+    # whose codes occur, or joins them if they are too many.
+    event_lookup: str = "auto"
     # Custom event N has code base + N; eVar N above 100 has code offset + N.
     custom_event_base: int = 199
     evar_code_offset: int = 9899

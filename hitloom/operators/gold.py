@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hitloom.config import MEASUREMENT_CODES, Settings
 from hitloom.functions import events as E
-from hitloom.operators.lookups import find_name, join_label, name_table
+from hitloom.operators.lookups import code_counts, find_name, fits_in_memory, join_label, name_table, occurring_names
 from hitloom.operators.ordering import number_rows, number_within
 
 # Labelled column -> (lookup, code column, label for a miss).
@@ -175,47 +175,56 @@ def event_names(event_map: DataFrame, base_events: DataFrame) -> DataFrame:
     return mapped.unionByName(original, allowMissingColumns=True).filter(F.col("code").isNotNull())
 
 
-def hot_salts(codes: DataFrame, parts: int) -> Column:
+def hot_salts(counts: DataFrame, parts: int) -> Column:
     """Scalar map from hot codes (more than one part in ``parts`` of all) to their shares, rounded up.
 
-    At most ``parts`` codes are hot, and their shares add up to at most twice that.
+    ``counts`` has the rows of each code. At most ``parts`` codes are hot, and their
+    shares add up to at most twice that.
     """
-    counts = codes.filter(F.col("code").isNotNull()).groupBy("code").agg(F.count(F.lit(1)).alias("rows"))
     all_rows = counts.agg(F.sum("rows").alias("total"))
     share = F.ceil(F.col("rows") * parts / F.col("total")).cast("int")
     hot = counts.crossJoin(F.broadcast(all_rows)).filter(F.col("rows") * parts > F.col("total"))
     return hot.agg(F.map_from_entries(F.collect_list(F.struct("code", share.alias("salts")))).alias("salts")).scalar()
 
 
-def _join_salted(df: DataFrame, names: DataFrame, codes: DataFrame, code: Column) -> DataFrame:
+def _join_salted(df: DataFrame, names: DataFrame, counts: DataFrame, code: Column) -> DataFrame:
     """Names joined on (code, salt): a hot code's events meet as many copies of its names as it has salts.
 
     Rows without a code get distinct negative keys, or all page views would meet in one task.
+    ``names`` has one row per code; if its file is small the join is a broadcast and no event moves.
     """
     # Several salts for each task, so that tasks get about as many.
     parts = min(1000, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salts = hot_salts(codes, parts)
+    salts = hot_salts(counts, parts)
     some = F.xxhash64("distinct_id", "ts_utc", code, "event.event_sequence")
     many = lambda key: F.coalesce(F.try_element_at(salts, key), F.lit(1))
     keyed = df.withColumn("_key", F.coalesce(code, -1 - F.pmod(some, F.lit(100_000)))).withColumn(
         "_salt", F.pmod(some, many(code).cast("bigint")).cast("int")
     )
-    unique = names.groupBy("code").agg(F.min("mapped").alias("mapped"), F.min("original").alias("original"))
-    spread = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), many(F.col("code")) - 1)))
+    spread = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), many(F.col("code")) - 1)))
     return keyed.join(spread.withColumnRenamed("code", "_key"), ["_key", "_salt"], "left").drop("_key", "_salt")
 
 
 def join_event_names(
-    df: DataFrame, event_map: DataFrame, base_events: DataFrame, codes: DataFrame | None = None
+    df: DataFrame,
+    event_map: DataFrame,
+    base_events: DataFrame,
+    codes: DataFrame | None = None,
+    lookup: str = "join",
 ) -> DataFrame:
     """``mapped`` and ``original`` name of each exploded event.
 
     Both are looked up where the event is; no event moves. With ``codes``, the codes of
-    all events (one row each), tables of any size are joined with salted hot codes.
+    all events (one row each, or their `code_counts`), tables of any size are reduced to
+    these codes and joined with salted hot codes; with ``lookup="auto"`` only if the reduced
+    tables are beyond the limit of a table in memory.
     """
     names, code = event_names(event_map, base_events), F.col("event.event_code")
     if codes is not None:
-        return _join_salted(df, names, codes, code)
+        counts = codes if "rows" in codes.columns else code_counts(codes)
+        names = occurring_names(names, counts)
+        if lookup == "join" or not fits_in_memory(names):
+            return _join_salted(df, names, counts, code)
     return df.withColumn("_found", find_name(name_table(names), code)).select(*df.columns, "_found.mapped", "_found.original")
 
 
@@ -246,7 +255,10 @@ def to_gold(
     if settings.event_lookup == "inline":
         named = join_event_names(exploded, event_map, base_events)
     else:
-        named = join_event_names(exploded, event_map, base_events, timed.select(F.explode("events_enhanced.event_code").alias("code")))
+        codes = vars(silver).get("event_codes")
+        if codes is None:
+            codes = timed.select(F.explode("events_enhanced.event_code").alias("code"))
+        named = join_event_names(exploded, event_map, base_events, codes, settings.event_lookup)
 
     kind = F.col("event.hit_type")
     business = kind.isin("event_on_page", "link_tracking")

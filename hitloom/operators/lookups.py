@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -60,6 +61,32 @@ def join_label(df: DataFrame, lookup: DataFrame, key: str, prefix: str, out: str
     )
 
 
+def code_counts(codes: DataFrame) -> DataFrame:
+    """``rows`` of each ``code`` that occurs, kept in the checkpoint folder."""
+    checkpoint_folder(codes.sparkSession)
+    return codes.filter("code IS NOT NULL").groupBy("code").agg(F.count(F.lit(1)).alias("rows")).checkpoint()
+
+
+def occurring_names(names: DataFrame, codes: DataFrame, key: str = "code") -> DataFrame:
+    """The rows of ``names`` whose key occurs among the ``codes``, one per key, read back from a folder.
+
+    Of rows with the same key the least of each other column counts, as in `name_table`.
+    ``codes`` has the key and may repeat it. The folder is in the checkpoint folder; being
+    a file, the result is broadcast in joins if it is small, however large ``names`` is.
+    """
+    spark = names.sparkSession
+    others = [F.min(name).alias(name) for name in names.columns if name != key]
+    unique = names.filter(F.col(key).isNotNull()).groupBy(key).agg(*others)
+    path = f"{checkpoint_folder(spark).rstrip('/')}/names-{uuid.uuid4().hex}"
+    unique.join(codes.select(key).distinct(), key, "left_semi").write.parquet(path)
+    return spark.read.schema(unique.schema).parquet(path)
+
+
+def fits_in_memory(names: DataFrame) -> bool:
+    """Whether `name_table` takes so many names."""
+    return names.limit(MAX_NAMES + 1).count() <= MAX_NAMES
+
+
 def name_table(names: DataFrame, key: str = "code") -> Column:
     """All rows of ``names`` by ``key`` in one value, for `find_name` in any expression.
 

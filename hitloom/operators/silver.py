@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hitloom.config import Settings
 from hitloom.functions import events as E
 from hitloom.functions.text import alias_name, unique_names
-from hitloom.operators.lookups import find_name, name_table
+from hitloom.operators.lookups import code_counts, find_name, fits_in_memory, name_table, occurring_names
 from hitloom.operators.ordering import previous_value
 from hitloom.session import checkpoint_folder
 
@@ -52,21 +52,32 @@ def enhance_events(
     """Events with name, type and measurement flag, as an array per hit.
 
     Names come from the event map through `name_table`, so nothing runs while this is
-    planned, hits are not moved, and hits may be a stream. With ``lookup="join"``, for
-    maps beyond its limit, events are joined and gathered, and hits are stored on the way.
+    planned, hits are not moved, and hits may be a stream. With ``lookup="auto"`` the map is
+    first reduced to the codes that occur, in one narrow pass over the hits, so that a map of
+    any size will do; if even these are beyond the limit of a table, names are joined. With
+    ``lookup="join"`` they always are: events are joined and gathered, and hits are stored on
+    the way. These two give the frame its `code_counts` as ``event_codes``.
     """
     if name_source == "literal":
         return df.select("*", E.enhanced_events(F.col("events_array")).alias(out))
     if name_source != "event_map" or event_map is None:
         raise ValueError("name_source is 'literal', or 'event_map' with an event map")
-    if lookup not in ("inline", "join"):
-        raise ValueError("lookup is 'inline' or 'join'")
+    if lookup not in ("auto", "inline", "join"):
+        raise ValueError("lookup is 'auto', 'inline' or 'join'")
     names = event_map.select(F.col("code").cast("bigint").alias("code"), "name").filter("code IS NOT NULL AND name IS NOT NULL")
-    if lookup == "join":
-        return _enhance_by_join(df, names.groupBy("code").agg(F.min("name").alias("name")), out)
-    name_of = lambda code: F.coalesce(find_name(F.col("_names"), code)["name"], E.literal_event_name(code))
-    tabled = df.select("*", name_table(names).alias("_names"))
-    return tabled.select(*[F.col(f"`{c}`") for c in df.columns], E.enhanced_events(F.col("events_array"), name_of).alias(out))
+    counts = None
+    if lookup != "inline":
+        counts = code_counts(df.select(F.explode("events_array.event_code").alias("code")))
+        names = occurring_names(names, counts)
+    if lookup == "join" or (lookup == "auto" and not fits_in_memory(names)):
+        enhanced = _enhance_by_join(df, names, out)
+    else:
+        name_of = lambda code: F.coalesce(find_name(F.col("_names"), code)["name"], E.literal_event_name(code))
+        tabled = df.select("*", name_table(names).alias("_names"))
+        columns = [F.col(f"`{c}`") for c in df.columns]
+        enhanced = tabled.select(*columns, E.enhanced_events(F.col("events_array"), name_of).alias(out))
+    enhanced.event_codes = counts
+    return enhanced
 
 
 def evar_instances(df: DataFrame, number_offset: int = 9999) -> DataFrame:
@@ -154,11 +165,16 @@ def to_silver(
     event_map: DataFrame | None = None,
     **limits: float,
 ) -> DataFrame:
-    """Hits without a time take part in the URL comparison, then drop out."""
-    named = enhance_events(bronze, settings.name_source, event_map, lookup=settings.event_lookup)
-    named = evar_instances(named, settings.evar_number_offset)
+    """Hits without a time take part in the URL comparison, then drop out.
+
+    The counts of their event codes, if the names needed them, stay as ``event_codes``.
+    """
+    enhanced = enhance_events(bronze, settings.name_source, event_map, lookup=settings.event_lookup)
+    named = evar_instances(enhanced, settings.evar_number_offset)
     viewed = detect_page_view(
         named, settings.use_post_page_event, settings.use_url_change, settings.use_evar_instances, **limits
     ).filter(F.col("ts_utc").isNotNull())
     pairs = sdr_alias_pairs(_named_evars(sdr_evars).unionByName(_named_props(sdr_props)), viewed.columns)
-    return classify_hits(viewed.drop("events_array")).select("*", *alias_columns(viewed, pairs))
+    silver = classify_hits(viewed.drop("events_array")).select("*", *alias_columns(viewed, pairs))
+    silver.event_codes = vars(enhanced).get("event_codes")
+    return silver

@@ -182,6 +182,26 @@ def test_tables_of_names(spark, monkeypatch):
         codes.select(K.find_name(K.name_table(names), F.col("code")).alias("f")).collect()
 
 
+@pytest.mark.parametrize("limit", [3, 1])
+def test_maps_beyond_the_limit_are_reduced_or_joined(spark, monkeypatch, limit):
+    """Three of a thousand names occur: they fit a table of three, and are joined if it may have one."""
+    monkeypatch.setattr(K, "MAX_NAMES", limit)
+    df = _events(spark, [(1, [(1, None), (7, 2.0), (None, 1.0), (1, 9.0)]), (2, []), (3, [(205, 1.0), (5000, 1.0)])])
+    names = spark.createDataFrame([(k, f"n{k}") for k in range(1000)] + [(7, "m7"), (None, "none"), (5000, None)], "code long, name string")
+    named = S.enhance_events(df, "event_map", names, lookup="auto")
+    got = {r.hit: [(e.event_code, e.event_name) for e in r.events_enhanced] for r in named.collect()}
+    assert got == {1: [(1, "n1"), (7, "m7"), (1, "n1")], 2: [], 3: [(205, "n205"), (5000, "Event 5000")]}
+    assert ("Join" in named._jdf.queryExecution().executedPlan().toString()) == (limit == 1)
+    base = names.selectExpr("code AS id", "concat('b', name) AS name")
+    events = df.selectExpr("'v' AS distinct_id", "timestamp_seconds(hit) AS ts_utc", "posexplode(events_array) AS (pos, e)").selectExpr(
+        "distinct_id", "ts_utc", "named_struct('event_code', e.event_code, 'event_sequence', pos) AS event"
+    )
+    mapped = G.join_event_names(events, names.filter("code <> 7"), base, events.select("event.event_code").toDF("code"), "auto")
+    found = sorted(((r.event.event_code, r.mapped, r.original) for r in mapped.collect()), key=str)
+    want = [(1, "n1", "bn1"), (1, "n1", "bn1"), (205, "n205", "bn205"), (5000, None, None), (7, None, "bm7"), (None, None, None)]
+    assert found == want
+
+
 def test_hot_event_code_is_spread(spark):
     """With broadcasting off and nine of ten events on one code, no task gets many times what others do."""
     events = spark.range(20_000).selectExpr(

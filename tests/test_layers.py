@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hitloom.config import Settings
+from hitloom.operators import lookups as K
 from hitloom.operators import gold as G
 from hitloom.plans import quality as Q
 from hitloom.plans import reports as P
@@ -205,3 +206,15 @@ def test_joined_names_give_the_same_gold(spark, small_layers):
     joined = plan_layers(found, Settings(event_lookup="join")).gold
     stored = small_layers.gold.drop("ts_date")
     assert joined.exceptAll(stored).isEmpty() and stored.exceptAll(joined).isEmpty()
+
+
+def test_event_map_beyond_the_limit_gives_the_same_gold(spark, small_layers, monkeypatch):
+    found = inputs.inputs(spark, SMALL)
+    codes = small_layers.silver.selectExpr("explode(events_enhanced.event_code) AS code").distinct()
+    limit = codes.count()
+    base = spark.range(20_000, 20_001 + limit).selectExpr("CAST(id AS INT) AS id", "concat('unused ', id) AS name")
+    found.base_events = found.base_events.unionByName(base)
+    monkeypatch.setattr(K, "MAX_NAMES", limit)
+    gold = plan_layers(found).gold
+    stored = small_layers.gold.drop("ts_date")
+    assert gold.exceptAll(stored).isEmpty() and stored.exceptAll(gold).isEmpty()
