@@ -22,13 +22,16 @@ HIT_ORDER = ("ts_utc", "hitid_high", "hitid_low")
 def _enhance_by_join(df: DataFrame, names: DataFrame, out: str) -> DataFrame:
     """The way for maps of any size: explode, join the names, gather again.
 
-    Rows get a number that must not change between uses, so they are stored once.
-    Gathering is per hit, hence never larger than one event list.
+    Rows get a number that must not change between uses, so they are stored once, as a
+    table bucketed by it, written without a shuffle: events are gathered where their hit
+    lies, and hits don't move. If the names are few enough to be broadcast, no event moves
+    either. Gathering is per hit, hence never larger than one event list.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/numbered-hits-{uuid.uuid4().hex}"
-    df.withColumn("_hit", F.monotonically_increasing_id()).write.parquet(path)
-    numbered = spark.read.parquet(path)
+    spark, table = df.sparkSession, f"numbered_hits_{uuid.uuid4().hex}"
+    writer = df.withColumn("_hit", F.monotonically_increasing_id()).write.format("parquet")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer.bucketBy(buckets, "_hit").option("path", f"{checkpoint_folder(spark).rstrip('/')}/{table}").saveAsTable(table)
+    numbered = spark.table(table)
     events = numbered.select("_hit", F.posexplode(E.enhanced_events(F.col("events_array"))).alias("_pos", "e"))
     named = events.join(names.withColumnRenamed("code", "_code"), F.col("e.event_code") == F.col("_code"), "left")
     full = F.struct(

@@ -99,6 +99,16 @@ def test_names_by_join_equal_names_in_memory(spark):
     assert as_rows(fast)[2][1][0][2] == "It's \"x\" \\ {y}"
 
 
+def test_hits_with_joined_names_are_not_moved(spark):
+    """Hits are stored once, in buckets of their number; with few names no event moves either."""
+    df = _events(spark, [(h, [(h % 5, None), (7, float(h))]) for h in range(200)])
+    names = spark.createDataFrame([(k, f"n{k}") for k in range(4)], "code long, name string")
+    named = S.enhance_events(df, "event_map", names, lookup="join")
+    assert "Exchange hashpartitioning" not in named._jdf.queryExecution().executedPlan().toString()
+    got = {r.hit: [e.event_name for e in r.events_enhanced] for r in named.collect()}
+    assert got == {h: [f"n{h % 5}" if h % 5 < 4 else "Event 4", "Event 7"] for h in range(200)}
+
+
 def test_evar_instances(spark):
     df = _events(spark, [(1, [(9999, None), (10005, 2.0)])])
     assert [tuple(e) for e in S.evar_instances(df).first().evar_instances] == [(10005, 2.0, 6)]
