@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -226,12 +226,11 @@ def canonical_tabs(histogram: DataFrame) -> DataFrame:
 
 
 class _Chunk:
-    """Lines of one chunk in file order, as arrays."""
+    """Lines of one chunk in file order, as arrays, and what all of them share, as ``same``."""
 
-    def __init__(self, table: pa.Table, max_chars: int):
-        self.table = table = table.sort_by("row")
-        self.path, self.block, self.part, self.width = (table[c][0].as_py() for c in (*CHUNK, "width"))
-        self.rows, tabs, chars = (table[c].to_numpy() for c in ("row", "tabs", "chars"))
+    def __init__(self, same: dict, rows: np.ndarray, tabs: np.ndarray, chars: np.ndarray, max_chars: int):
+        self.same, self.width, self.rows = same, same["width"], rows
+        self.place = {name: same[name] for name in (*CHUNK, "width")}
         self.count = len(self.rows)
         self.filled = chars > 0
         # Running tabs and characters; a line added to a record brings a break.
@@ -273,31 +272,65 @@ def _open_starts(starts: Sequence[int], close: list[int]) -> dict[int, int]:
     return known
 
 
+_LINE = ("row", "tabs", "chars")
+
+
+def _in_chunks(lines: DataFrame, give: Callable[[_Chunk], dict], kinds: pa.Schema, schema: str, max_chars: int) -> DataFrame:
+    """``give`` for each chunk of the lines; its dicts become rows of ``schema``.
+
+    A number along the chunk brings the lines of each together, in order. Chunks can be
+    small and many, so they pass through Python in batches of lines, not each by itself.
+    """
+    numbered = lines.withColumn("nth", F.row_number().over(Window.partitionBy(*CHUNK).orderBy("row")))
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[_Chunk]]:
+        same, parts = None, []
+
+        def finished() -> list[_Chunk]:
+            return [_Chunk(same, *map(np.concatenate, zip(*parts)), max_chars)] if parts else []
+
+        for batch in batches:
+            out, columns = [], [batch.column(name).to_numpy(zero_copy_only=False) for name in _LINE]
+            firsts = np.flatnonzero(batch.column("nth").to_numpy() == 1).tolist()
+            shared = batch.drop_columns([*_LINE, "nth"]).take(pa.array(firsts, pa.int64())).to_pylist()
+            bounds = [*firsts, batch.num_rows]
+            if bounds[0]:
+                parts.append([column[: bounds[0]] for column in columns])
+            for row, start, end in zip(shared, bounds, bounds[1:]):
+                out += finished()
+                same, parts = row, [[column[start:end] for column in columns]]
+            yield out
+        yield finished()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in chunks(batches):
+            yield pa.RecordBatch.from_pylist([give(chunk) for chunk in some], kinds)
+
+    return numbered.mapInArrow(run, schema)
+
+
+_PLACE_TYPES = [("path", pa.string()), ("block", pa.int64()), ("part", pa.int64()), ("width", pa.int32())]
 _ENDS = ("end_tabs", "end_chars", "open_row", "open_tabs", "open_chars")
 _REPORT = "path string, block bigint, part bigint, width int, tabs bigint, chars bigint, " + ", ".join(
     f"{name} array<bigint>" for name in _ENDS
 )
+_REPORT_TYPES = pa.schema(
+    [*_PLACE_TYPES, ("tabs", pa.int64()), ("chars", pa.int64())] + [(name, pa.list_(pa.int64())) for name in _ENDS]
+)
 
 
-def _report_chunk(max_chars: int):
+def _report_chunk(c: _Chunk) -> dict:
     """Step 2: what may happen in a chunk to the record open at its start."""
-
-    def report(table: pa.Table) -> pa.Table:
-        c = _Chunk(table, max_chars)
-        # Whatever was open, it has ended once this chunk alone fills the width.
-        certain = min(int(np.searchsorted(c.tabs, c.width, side="left")), c.count - 1)
-        starts = [0, *range(1, certain + 2)]
-        opened = _open_starts(starts, c.close)
-        # The first entry is the chunk entered with no open record; then one
-        # entry per line on which an open record may end.
-        ends = [(0, 0, *c.open_record(opened[0]))]
-        ends += [(int(c.tabs[i]), int(c.chars[i]), *c.open_record(opened[i + 1])) for i in range(certain + 1)]
-        lists = [pa.array([list(column)], pa.list_(pa.int64())) for column in zip(*ends)]
-        place = [pa.array([c.path]), pa.array([c.block], pa.int64()), pa.array([c.part], pa.int64())]
-        sums = [pa.array([c.width], pa.int32()), pa.array([int(c.tabs[-1])]), pa.array([int(c.chars[-1])])]
-        return pa.table([*place, *sums, *lists], names=[*CHUNK, "width", "tabs", "chars", *_ENDS])
-
-    return report
+    # Whatever was open, it has ended once this chunk alone fills the width.
+    certain = min(int(np.searchsorted(c.tabs, c.width, side="left")), c.count - 1)
+    starts = [0, *range(1, certain + 2)]
+    opened = _open_starts(starts, c.close)
+    # The first entry is the chunk entered with no open record; then one
+    # entry per line on which an open record may end.
+    ends = [(0, 0, *c.open_record(opened[0]))]
+    ends += [(int(c.tabs[i]), int(c.chars[i]), *c.open_record(opened[i + 1])) for i in range(certain + 1)]
+    lists = dict(zip(_ENDS, map(list, zip(*ends))))
+    return {**c.place, "tabs": int(c.tabs[-1]), "chars": int(c.chars[-1]), **lists}
 
 
 _STATE = (
@@ -305,7 +338,7 @@ _STATE = (
     "open_tabs bigint, open_chars bigint"
 )
 _STATE_TYPES = pa.schema(
-    [("path", pa.string()), ("block", pa.int64()), ("part", pa.int64()), ("width", pa.int32())]
+    _PLACE_TYPES
     + [(name, pa.int64()) for name in ("open_block", "open_row", "open_tabs", "open_chars")]
 )
 
@@ -347,14 +380,19 @@ _PLACES = (
 )
 
 
-def _bits(offsets: np.ndarray) -> pa.Array:
-    """One list of longs with the bits of these offsets, or null without any."""
-    kind = pa.list_(pa.int64())
+_PLACES_TYPES = pa.schema(
+    [*_PLACE_TYPES, ("first_row", pa.int64()), ("members", pa.list_(pa.int64())), ("firsts", pa.list_(pa.int64()))]
+    + [("open_block", pa.int64()), ("open_row", pa.int64())]
+)
+
+
+def _bits(offsets: np.ndarray) -> np.ndarray | None:
+    """Longs with the bits of these offsets, or None without any."""
     if not len(offsets):
-        return pa.array([None], kind)
+        return None
     marked = np.zeros((int(offsets[-1]) // 64 + 1) * 64, dtype=np.uint8)
     marked[offsets] = 1
-    return pa.array([np.packbits(marked, bitorder="little").view("<i8")], kind)
+    return np.packbits(marked, bitorder="little").view("<i8")
 
 
 def _place_records(max_chars: int):
@@ -363,13 +401,12 @@ def _place_records(max_chars: int):
     A record that is not closed by one filled line of this chunk counts as such.
     """
 
-    def place(table: pa.Table) -> pa.Table:
-        c = _Chunk(table, max_chars)
+    def place(c: _Chunk) -> dict:
         open_block, open_row, open_tabs, open_chars = (
-            c.table[name][0].as_py() for name in ("open_block", "open_row", "open_tabs", "open_chars")
+            c.same[name] for name in ("open_block", "open_row", "open_tabs", "open_chars")
         )
         member, first_of = c.filled.copy(), np.zeros(c.count, dtype=bool)
-        filled_to = np.cumsum(c.filled)
+        filled_to = np.cumsum(c.filled).tolist()
         at = 0
         if open_row >= 0:
             full = int(np.searchsorted(c.tabs, c.width - open_tabs, side="left"))
@@ -382,11 +419,9 @@ def _place_records(max_chars: int):
                 member[first], first_of[first] = not alone, not alone
             at = end + 1
         offsets = c.rows - c.rows[0]
-        place = [pa.array([c.path]), *(pa.array([v], pa.int64()) for v in (c.block, c.part))]
-        more = [pa.array([c.width], pa.int32()), pa.array([int(c.rows[0])], pa.int64())]
-        bits = [_bits(offsets[np.flatnonzero(marks)]) for marks in (member, first_of)]
-        before = [pa.array([v], pa.int64()) for v in (open_block, open_row)]
-        return pa.table([*place, *more, *bits, *before], names=[*CHUNK, "width", "first_row", "members", "firsts", "open_block", "open_row"])
+        members, firsts = (_bits(offsets[np.flatnonzero(marks)]) for marks in (member, first_of))
+        marks = {"first_row": int(c.rows[0]), "members": members, "firsts": firsts}
+        return {**c.place, **marks, "open_block": open_block, "open_row": open_row}
 
     return place
 
@@ -405,11 +440,11 @@ def place_chunks(indexed: DataFrame, widths: DataFrame, max_chars: int = MAX_REC
     # Widths come by file; chunks are few, lines are not.
     sized = indexed.select(*CHUNK).distinct().join(known_widths(widths), "path")
     narrow = indexed.select(*CHUNK, "row", "tabs", "chars")
-    reports = _by_chunk(narrow, sized).groupBy(*CHUNK).applyInArrow(_report_chunk(max_chars), _REPORT)
+    reports = _in_chunks(_by_chunk(narrow, sized), _report_chunk, _REPORT_TYPES, _REPORT, max_chars)
     states = (
         reports.repartition("path").sortWithinPartitions(*CHUNK).mapInArrow(_carry_states(max_chars), _STATE)
     )
-    placed = _by_chunk(narrow, states).groupBy(*CHUNK).applyInArrow(_place_records(max_chars), _PLACES)
+    placed = _in_chunks(_by_chunk(narrow, states), _place_records(max_chars), _PLACES_TYPES, _PLACES, max_chars)
     return indexed.feed_store.write(placed, "chunks")
 
 

@@ -225,3 +225,26 @@ def test_empty_and_blank_files(spark, tmp_path):
     (tmp_path / "blank.tsv").write_text("\n\n\r\n")
     with R.repaired(spark, str(tmp_path), width=3) as records:
         assert records.collect() == []
+
+
+def test_chunks_pass_through_python_in_batches(spark, tmp_path):
+    """Many small chunks share a batch, and one chunk may span batches; neither is a call of its own."""
+    (tmp_path / "a.tsv").write_text("".join(f"l{n}\tx\n{n}\ty\n\n" for n in range(100)))
+    records = {}
+    for bits, size in ((1, 10_000), (10, 7), (10, 10_000)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+        try:
+            indexed = R.index_lines(R.read_lines(spark, str(tmp_path / "a.tsv")), chunk_bits=bits)
+            widths = indexed.select("path").distinct().withColumn("width", F.lit(2))
+            assert R.place_chunks(indexed, widths).count() == (150 if bits == 1 else 1)
+            found = R.assemble_records(indexed, widths).select("record_row", "record", "tabs")
+            records[bits, size] = sorted(map(tuple, found.collect()))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        indexed.feed_store.drop(spark)
+    first = records[10, 10_000]
+    assert [r[1] for r in first] == [f"l{n}\tx\\n{n}\ty" for n in range(100)]
+    assert records[1, 10_000] == first and records[10, 7] == first
+    kept = spark.range(600).selectExpr("'p' AS path", "0L AS block", "id div 2 AS part", "id AS row", "1 AS tabs", "1 AS chars", "2 AS width")
+    plan = R._in_chunks(kept, R._report_chunk, R._REPORT_TYPES, R._REPORT, 99)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
