@@ -70,7 +70,8 @@ def enhance_events(
     names = event_map.select(F.col("code").cast("bigint").alias("code"), "name").filter("code IS NOT NULL AND name IS NOT NULL")
     counts = None
     if lookup != "inline":
-        counts = code_counts(df.select(F.explode("events_array.event_code").alias("code")))
+        # Of an inner explode Spark makes a filter that parses every list a second time.
+        counts = code_counts(df.select(F.explode_outer("events_array.event_code").alias("code")))
         names = occurring_names(names, counts)
     if lookup == "join" or (lookup == "auto" and not fits_in_memory(names)):
         enhanced = _enhance_by_join(df, names, out)
