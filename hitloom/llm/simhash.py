@@ -121,7 +121,8 @@ def linked_fingerprints(prints: DataFrame, max_distance: int = MAX_DISTANCE) ->
     homes = distinct.select("a", F.explode(F.array(*homes)).alias("anchor"))
     visits = distinct.select(F.col("a").alias("b"), F.explode(F.concat(*visits)).alias("anchor"))
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
-    return homes.join(visits, (homes["anchor"] == visits["anchor"]) & near).select("a", "b").distinct()
+    # Spark sizes both sides as if nothing were exploded and would broadcast thirty times that.
+    return homes.hint("merge").join(visits, (homes["anchor"] == visits["anchor"]) & near).select("a", "b").distinct()
 
 
 def simhash_components(

@@ -111,3 +111,12 @@ def test_components_of_chains_and_hubs(spark):
     got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(1, 41)}, **{k: 100 for k in range(101, 160)}}
     assert common.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_replicated_fingerprints_are_not_broadcast(spark):
+    """Few fingerprints are many visits; a join that gathers them on the driver would outgrow it."""
+    prints = spark.range(5_000).select(F.xxhash64("id").alias("fingerprint"))
+    links = simhash.linked_fingerprints(prints.union(prints.select(F.col("fingerprint").bitwiseXOR(F.lit(1)))))
+    assert links.count() == 5_000
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
