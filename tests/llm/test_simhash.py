@@ -120,3 +120,16 @@ def test_replicated_fingerprints_are_not_broadcast(spark):
     assert links.count() == 5_000
     plan = links._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_the_pipeline_stage_broadcasts_no_replicated_fingerprints(spark, monkeypatch):
+    plans, components = [], common.components
+
+    def planned(edges, name):
+        plans.append(edges._jdf.queryExecution().executedPlan().toString())
+        return components(edges, name)
+
+    monkeypatch.setattr(common, "components", planned)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(["one two three", "one two three", "four five six", ""])], "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [0, 2, 3]
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
